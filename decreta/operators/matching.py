@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decreta import constants as K
 from decreta.functions.similarity import token_sort_score, trigram_score, trigrams
 from decreta.functions.text import match_key, strip
 from decreta.operators.ordering import keep_first, top_per_key
-from decreta.session import broadcast_checked
+from decreta.session import broadcast_checked, staged
 
 # Above this many names the registry is joined by trigram instead of being inlined.
 INLINE_REGISTRY = 5_000
@@ -39,52 +39,65 @@ def _by_name(registry: DataFrame) -> DataFrame:
     return keep_first(registry, ["name"], [F.col("ord").desc()])
 
 
-def lookup_tables(registry: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two lookup tables: by the name as written and by its comparison key.
+def prepare_registry(registry: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Registry and aliases as one small table, written once and read by every lookup.
 
-    Both hold ``canonical, sport_id, confidence, method``; a registry name outranks an
-    alias of the same spelling.
+    ``kind`` is ``written`` (name or alias as spelled), ``keyed`` (comparison key) or
+    ``choice`` (what a misspelled name may resemble). Of equal lookups a registry name
+    outranks an alias; of equal names the later registry entry counts.
     """
     by_name = _by_name(registry).select("name", "sport_id", "ord")
-    ids = by_name.select(F.col("name").alias("canonical"), F.col("sport_id"))
-    named_aliases = aliases.join(ids, "canonical", "left")
+    ids = by_name.select(F.col("name").alias("canonical"), "sport_id", F.lit(True).alias("_known"))
+    named = aliases.select("alias", "canonical", "ord").join(broadcast_checked(ids), "canonical", "left")
+    first = keep_first(registry, ["name"], [F.col("ord")])
 
-    def entry(df: DataFrame, key: Column, canonical: str, conf: float, method: str, pri: int, order: Column):
+    def rows(df: DataFrame, kind: str, key: Column, canonical: str, conf: float, method: str,
+             pri: int, order: Column) -> DataFrame:
         return df.select(
-            key.alias("lookup"), F.col(canonical).alias("canonical_name"), "sport_id",
-            F.lit(conf).alias("confidence"), F.lit(method).alias("method"),
-            F.lit(pri).alias("_pri"), order.alias("_ord"),
+            F.lit(kind).alias("kind"), key.alias("lookup"), F.col(canonical).alias("canonical_name"),
+            F.col("sport_id").cast("string").alias("sport_id"), F.lit(conf).alias("confidence"),
+            F.lit(method).alias("method"),
+            F.struct(F.lit(pri).alias("pri"), order.cast("bigint").alias("pos")).alias("ord"),
         )
 
-    written = entry(by_name, F.col("name"), "name", 1.0, "exact", 1, F.col("ord")).unionByName(
-        entry(named_aliases, F.col("alias"), "canonical", 0.98, "alias", 2, F.col("ord"))
-    )
-    keyed = entry(by_name, match_key(F.col("name")), "name", 0.95, "case_norm", 1, -F.col("ord")).unionByName(
-        entry(named_aliases, match_key(F.col("alias")), "canonical", 0.95, "alias", 2, F.col("ord"))
-    )
-    order = [F.col("_pri"), F.col("_ord")]
-    tidy = lambda df: keep_first(df, ["lookup"], order).drop("_pri", "_ord")
-    return tidy(written), tidy(keyed)
-
-
-def exact_cascade(names: DataFrame, registry: DataFrame, aliases: DataFrame) -> DataFrame:
+    name, alias, pos = F.col("name"), F.col("alias"), F.col("ord")
+    # A registry name that is also spelled as an alias resembles its alias target.
+    as_choice = first.select("name", "ord").join(
+        named.select(F.col("alias").alias("name"), F.col("canonical").alias("_to")), "name", "left"
+    ).select("name", "ord", F.coalesce("_to", "name").alias("canonical")).join(
+        broadcast_checked(ids), "canonical", "left")
+    parts = [
+        rows(by_name, "written", name, "name", 1.0, "exact", 1, pos),
+        rows(named, "written", alias, "canonical", 0.98, "alias", 2, pos),
+        rows(by_name, "keyed", match_key(name), "name", 0.95, "case_norm", 1, -pos),
+        rows(named, "keyed", match_key(alias), "canonical", 0.95, "alias", 2, pos),
+        rows(as_choice, "choice", name, "canonical", 0.0, "fuzzy", 1, pos),
+        rows(named.filter("_known"), "choice", alias, "canonical", 0.0, "fuzzy", 2, pos),
+    ]
+    all_rows = reduce(DataFrame.unionByName, parts)
+    return staged(keep_first(all_rows, ["kind", "lookup"], [F.col("ord")]), "registry")
+
+
+def exact_cascade(names: DataFrame, prepared: DataFrame) -> DataFrame:
     """Look up distinct ``name`` values; unmatched ones come back with null results.
 
     The four stages (name, alias, key, key of an alias) are two equi-joins, as each
-    lookup table already holds its stages in priority order.
+    lookup already holds its stages in priority order.
     """
-    written, keyed = lookup_tables(registry, aliases)
-    tag = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
-    w, k = tag(written, "_w_"), tag(keyed, "_k_")
+    results = ["canonical_name", "sport_id", "confidence", "method"]
+
+    def lookup(kind: str, tag: str) -> DataFrame:
+        table = prepared.filter(F.col("kind") == kind)
+        return broadcast_checked(table.select("lookup", F.struct(*results).alias(tag)))
+
+    w, k = lookup("written", "_w"), lookup("keyed", "_k").withColumnRenamed("lookup", "_key")
     joined = (
         names.withColumn("_key", match_key(F.col("name")))
-        .join(broadcast_checked(w), F.col("name") == F.col("_w_lookup"), "left")
-        .join(broadcast_checked(k), F.col("_key") == F.col("_k_lookup"), "left")
+        .join(w, F.col("name") == F.col("lookup"), "left")
+        .join(k, "_key", "left")
     )
-    hit = F.col("_w_lookup").isNotNull()
-    pick = {c: F.when(hit, F.col("_w_" + c)).otherwise(F.col("_k_" + c))
-            for c in ("canonical_name", "sport_id", "confidence", "method")}
-    return joined.select(*names.columns, *[v.alias(c) for c, v in pick.items()])
+    hit = F.coalesce("_w", "_k")
+    return joined.select(*names.columns, *[hit[c].alias(c) for c in results])
 
 
 def find_by_key(registry: DataFrame, name: str) -> DataFrame:
@@ -92,28 +105,15 @@ def find_by_key(registry: DataFrame, name: str) -> DataFrame:
     return _by_name(registry).filter(match_key(F.col("name")) == match_key(F.lit(name)))
 
 
-def candidates(registry: DataFrame, aliases: DataFrame) -> DataFrame:
+def candidates(prepared: DataFrame) -> DataFrame:
     """Everything a name may resemble: registry names, then aliases of registry names."""
-    first = keep_first(registry, ["name"], [F.col("ord")]).select(
-        F.col("name").alias("choice"), F.lit(0).alias("_kind"), F.col("ord").alias("_ord")
-    )
-    known = registry.select(F.col("name").alias("canonical")).distinct()
-    also = aliases.join(known, "canonical", "left_semi").select(
-        F.col("alias").alias("choice"), F.lit(1).alias("_kind"), F.col("ord").alias("_ord")
+    return prepared.filter(F.col("kind") == "choice").select(
+        F.col("lookup").alias("choice"), F.col("canonical_name").alias("canonical"), "sport_id", "ord"
     )
-    both = keep_first(first.unionByName(also), ["choice"], [F.col("_kind"), F.col("_ord")])
-    renamed = aliases.select(F.col("alias").alias("choice"), "canonical")
-    ids = _by_name(registry).select(F.col("name").alias("canonical"), "sport_id")
-    named = both.join(renamed, "choice", "left").withColumn(
-        "canonical", F.coalesce("canonical", "choice")
-    )
-    return named.join(ids, "canonical", "left").withColumn(
-        "ord", F.struct("_kind", "_ord")
-    ).select("choice", "canonical", "sport_id", "ord")
 
 
-def _inline_top(names: DataFrame, choices: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` choices per name, scored inside the row.
+def _inline_top(names: DataFrame, choices: DataFrame, k: int, needed: Column | None = None) -> DataFrame:
+    """Best ``k`` choices per name, scored inside the row (where ``needed``).
 
     The registry, whose size was checked, is one array computed by a scalar subquery:
     no pair ever becomes a row and the names are not shuffled.
@@ -127,10 +127,11 @@ def _inline_top(names: DataFrame, choices: DataFrame, k: int) -> DataFrame:
         return F.struct((-score).alias("neg"), c["ord"].alias("ord"), c["choice"].alias("choice"),
                         c["canonical"].alias("canonical"), c["sport_id"].alias("sport_id"))
 
-    ranked = names.withColumn("_tri", trigrams(F.col("name"))).withColumn(
-        "_top", F.slice(F.array_sort(F.transform(registry, scored)), 1, k)
+    ranked = names.withColumns({"_tri": trigrams(F.col("name")), "_all": registry}).withColumn(
+        "_top", F.when(F.lit(True) if needed is None else needed,
+                       F.slice(F.array_sort(F.transform("_all", scored)), 1, k))
     )
-    return ranked.drop("_tri")
+    return ranked.drop("_tri", "_all")
 
 
 def _joined_top(names: DataFrame, choices: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -175,7 +176,7 @@ def _joined_top(names: DataFrame, choices: DataFrame, k: int, threshold: float)
 def _token_sort_top(names: DataFrame, choices: DataFrame, k: int) -> DataFrame:
     """Best ``k`` choices per name by the token-sort score (registry size checked)."""
     table = choices.agg(F.collect_list(F.struct("ord", "choice", "canonical", "sport_id")).alias("all"))
-    rows = names.select("name", F.explode(table.scalar()).alias("c"))
+    rows = names.withColumn("_all", table.scalar()).select("name", F.explode("_all").alias("c"))
     scored = rows.withColumn("score", token_sort_score(F.col("name"), F.col("c.choice")))
     best = top_per_key(scored, ["name"], [F.col("score").desc(), F.col("c.ord")], k)
     tops = best.groupBy("name").agg(F.array_sort(F.collect_list(F.struct(
@@ -185,6 +186,28 @@ def _token_sort_top(names: DataFrame, choices: DataFrame, k: int) -> DataFrame:
     return names.join(tops, "name", "left")
 
 
+def _fits_inline(choices: DataFrame, limit: int) -> bool:
+    return choices.limit(limit + 1).count() <= limit
+
+
+def _verdict(threshold: float) -> dict[str, Column]:
+    """Result columns of a ranked name."""
+    best = F.get("_top", F.lit(0))
+    confidence = F.coalesce(F.round(-best["neg"], 3), F.lit(0.0))
+    found = confidence >= threshold
+    return {
+        "canonical_name": F.when(found, best["canonical"]),
+        "sport_id": F.when(found, best["sport_id"]),
+        "confidence": confidence,
+        "method": F.when(found, "fuzzy").otherwise("not_found"),
+        "alternatives": F.coalesce(
+            F.transform(F.slice("_top", 2, 3), lambda x: F.struct(
+                x["choice"].alias("name"), F.round(-x["neg"], 3).alias("score"))),
+            F.array().cast(_NO_ALTERNATIVES),
+        ),
+    }
+
+
 def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIEW_MATCH,
                 scorer: str = "trigram", inline_limit: int = INLINE_REGISTRY) -> DataFrame:
     """Match distinct ``name`` values to the most similar choice.
@@ -194,7 +217,7 @@ def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIE
     every match at or above ``threshold`` is found, alternatives are those that could
     reach it, and a name without any gets confidence 0.
     """
-    small = choices.limit(inline_limit + 1).count() <= inline_limit
+    small = _fits_inline(choices, inline_limit)
     if scorer == "token_sort":
         if not small:
             raise ValueError("the token-sort scorer needs a registry within inline_limit")
@@ -203,21 +226,7 @@ def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIE
         ranked = _inline_top(names, choices, _TOP)
     else:
         ranked = _joined_top(names, choices, _TOP, threshold)
-    best = F.get("_top", F.lit(0))
-    confidence = F.coalesce(F.round(-best["neg"], 3), F.lit(0.0))
-    found = confidence >= threshold
-    return ranked.select(
-        *names.columns,
-        F.when(found, best["canonical"]).alias("canonical_name"),
-        F.when(found, best["sport_id"]).alias("sport_id"),
-        confidence.alias("confidence"),
-        F.when(found, "fuzzy").otherwise("not_found").alias("method"),
-        F.coalesce(
-            F.transform(F.slice("_top", 2, 3), lambda x: F.struct(
-                x["choice"].alias("name"), F.round(-x["neg"], 3).alias("score"))),
-            F.array().cast(_NO_ALTERNATIVES),
-        ).alias("alternatives"),
-    )
+    return ranked.select(*names.columns, *[c.alias(n) for n, c in _verdict(threshold).items()])
 
 
 def match_names(names: DataFrame, registry: DataFrame, aliases: DataFrame,
@@ -227,13 +236,24 @@ def match_names(names: DataFrame, registry: DataFrame, aliases: DataFrame,
 
     Result: ``input_name, canonical_name, sport_id, confidence, method, alternatives``.
     """
+    prepared = prepare_registry(registry, aliases)
+    choices = candidates(prepared)
     given = names.select(strip(F.col("name")).alias("name")).filter(F.col("name") != "").distinct()
-    looked_up = exact_cascade(given, registry, aliases)
-    none = F.array().cast(_NO_ALTERNATIVES).alias("alternatives")
-    hits = looked_up.filter(F.col("method").isNotNull()).select("*", none)
-    rest = looked_up.filter(F.col("method").isNull()).select("name")
-    fuzzy = fuzzy_match(rest, candidates(registry, aliases), threshold, scorer, inline_limit)
-    return hits.unionByName(fuzzy).withColumnRenamed("name", "input_name")
+    looked_up = exact_cascade(given, prepared)
+    hit = F.col("method").isNotNull()
+    if scorer == "trigram" and _fits_inline(choices, inline_limit):
+        # One pass: the fuzzy stage runs inside the row, for unmatched names only.
+        ranked = _inline_top(looked_up, choices, _TOP, needed=~hit)
+        out = ranked.select("name", *[
+            (F.when(hit, F.col(n)).otherwise(c) if n in looked_up.columns else c).alias(n)
+            for n, c in _verdict(threshold).items()])
+    else:
+        looked_up = staged(looked_up, "looked-up")
+        none = F.array().cast(_NO_ALTERNATIVES).alias("alternatives")
+        rest = looked_up.filter(~hit).select("name")
+        out = looked_up.filter(hit).select("*", none).unionByName(
+            fuzzy_match(rest, choices, threshold, scorer, inline_limit))
+    return out.withColumnRenamed("name", "input_name")
 
 
 def search_registry(registry: DataFrame, query: str, limit: int = 10) -> DataFrame:

@@ -61,7 +61,7 @@ SPORT_DISCIPLINE = (
     "id string, sport_id string, name string, code_full string, active boolean, "
     "created_at timestamp"
 )
-PAGE = _schema("url string, html string, etag string, source_code string, page_no int")
+PAGE = "url string, html string, etag string, source_code string, page_no int"
 # One exported registry sheet row: ten cells, read as text.
 REGISTRY_SHEET = (
     "sheet string, row_no int, c1 string, c2 string, c3 string, c4 string, c5 string, "

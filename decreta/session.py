@@ -56,7 +56,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimised plan; runs no job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def broadcast_checked(df: DataFrame, limit: int = SMALL_SIDE_BYTES) -> DataFrame:
