@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +13,15 @@ from decreta import constants as K
 _WS = r"[\s\x1c-\x1f]"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often it is used.
+
+    Column expressions are trees: naming a costly input thirty times in a chain of
+    conditions would compute it thirty times.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Drop white space at both ends."""
     return F.btrim(c, F.lit(K.WHITESPACE))
@@ -44,16 +53,16 @@ def header_text(c: Column) -> Column:
 
 def detect_action(c: Column) -> Column:
     rules = [("(?U)" + p, label) for p, label in K.ACTION_RULES]
-    return classify_first(header_text(c), rules, "assignment")
+    return bind(header_text(c), lambda head: classify_first(head, rules, "assignment"))
 
 
 def detect_assignment_type(c: Column) -> Column:
     """Document type from keywords of its opening, in fixed priority."""
-    head = header_text(c)
+    return bind(header_text(c), _type_of_header)
 
-    def has(word: str) -> Column:
-        return head.contains(word)
 
+def _type_of_header(head: Column) -> Column:
+    has = head.contains
     return (
         F.when(has("почетн") | has("почётн"), "honorary_title")
         .when(has("заслуженн") & (has("мастер") | has("тренер")), "honorary_title")

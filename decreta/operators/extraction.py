@@ -15,8 +15,8 @@ from decreta.functions.dates import is_plausible_birth, is_valid_date
 from decreta.functions.names import unglue_words
 from decreta.functions.ranks import normalize_rank, rank_in_text
 from decreta.functions.records import row_confidence
-from decreta.functions.text import strip
-from decreta.operators.documents import split_lines, split_pages
+from decreta.functions.text import bind, strip, text_lines
+from decreta.operators.documents import split_pages
 from decreta.operators.ordering import keep_first
 
 _SEP = "\x01"
@@ -26,38 +26,48 @@ _ROW_SHAPE = (
 )
 
 
+_ID_SHAPE = K.DMY + r"\s+\d{4,7}\s"
+
+
 def _row_parts(line: Column) -> Column:
     """Fields of a data row as an array, null when the line is none.
 
     One replace with separators and one split per layout instead of one regex run per
-    field. The layout with the person id is tried first.
+    field. The layout with the person id is tried first, but only where the line can
+    have one: a failing name pattern backtracks through every way to cut the words.
     """
-    with_id = F.regexp_replace(line, r"(?sU)^\s*" + K.ROW_WITH_ID + r".*$",
-                               _SEP.join(f"${i}" for i in range(1, 7)))
-    plain = F.regexp_replace(line, r"(?sU)^\s*" + K.ROW_PLAIN + r".*$",
-                             _SEP.join(["$1", "$2", "$3", "", "$4", "$5"]))
-    tried = F.when(with_id.contains(_SEP), with_id).when(plain.contains(_SEP), plain)
-    return F.when(line.rlike(_ROW_SHAPE), F.split(tried, _SEP))
+    marks = lambda groups: _SEP.join(f"${g}" if g else "" for g in groups)
+    with_id = F.regexp_replace(line, r"(?sU)^\s*" + K.ROW_WITH_ID + r".*$", marks([1, 2, 3, 4, 5, 6]))
+    plain = F.regexp_replace(line, r"(?sU)^\s*" + K.ROW_PLAIN + r".*$", marks([1, 2, 3, 0, 4, 5]))
+    marked = F.when(line.rlike(_ID_SHAPE), bind(
+        with_id, lambda t: F.when(t.contains(_SEP), t).otherwise(plain))).otherwise(plain)
+    return F.when(line.rlike(_ROW_SHAPE), bind(
+        F.split(marked, _SEP), lambda parts: F.when(F.size(parts) == 6, parts)))
 
 
 def typed_lines(docs: DataFrame) -> DataFrame:
     """Lines of all documents with their kind and, for data rows, their fields.
 
     Reads ``doc_id, text`` (cleaned). Kinds: ``lead`` (header or list title), ``skip``
-    (column numbers, footers), ``row``, ``text``.
+    (column numbers, footers), ``row``, ``text``. Fields are found inside the generator,
+    so that later filters on them do not run the patterns a second time.
     """
     pages = split_pages(docs, "doc_id", "text")
-    lines = split_lines(pages, ["doc_id", "page_no"], "page_text")
+    parsed = F.transform(text_lines(F.col("page_text")), lambda x: F.struct(
+        x.alias("line"), _row_parts(x).alias("parts")))
+    lines = pages.select("doc_id", "page_no", F.posexplode(parsed).alias("line_no", "_l")).select(
+        "doc_id", "page_no", "line_no", "_l.line", "_l.parts").filter(F.col("line") != "")
     line = F.col("line")
     header, numbers = line.rlike(K.TABLE_HEADER), line.rlike(K.COLUMN_NUMBERS)
     lead = line.startswith(K.LEAD_LINES[0]) | line.startswith(K.LEAD_LINES[1])
-    return lines.withColumn("parts", _row_parts(line)).withColumns({
-        "kind": F.when(header, "lead").when(numbers, "skip")
+    is_row = F.col("parts").isNotNull()
+    return lines.withColumns({"_header": header, "_numbers": numbers}).withColumns({
+        "kind": F.when(F.col("_header"), "lead").when(F.col("_numbers"), "skip")
                  .when(line.rlike(K.PAGE_FOOTER_LINE), "skip").when(lead, "lead")
-                 .when(F.col("parts").isNotNull(), "row").otherwise("text"),
-        "section_row": ~header & ~numbers & F.col("parts").isNotNull(),
-        "heading_candidate": ~header & ~numbers & ~line.rlike(K.ROW_NUMBER),
-    })
+                 .when(is_row, "row").otherwise("text"),
+        "section_row": ~F.col("_header") & ~F.col("_numbers") & is_row,
+        "heading_candidate": ~F.col("_header") & ~F.col("_numbers") & ~line.rlike(K.ROW_NUMBER),
+    }).drop("_header", "_numbers")
 
 
 def _field(i: int) -> Column:
@@ -192,10 +202,6 @@ def first_context_sport(phrases: DataFrame, matches: DataFrame,
     )
 
 
-def rank_of_context(c: Column) -> Column:
-    return normalize_rank(rank_in_text(c))
-
-
 def finish_table(rows: DataFrame) -> DataFrame:
     """Confidence, rank and marks of table rows (reads ``order_date``)."""
     confidence = row_confidence(F.col("fio"), F.col("birth_date_raw"), F.col("sport"),
@@ -220,7 +226,7 @@ def finish_section(rows: DataFrame) -> DataFrame:
 
 
 def finish_free(rows: DataFrame) -> DataFrame:
-    rank = F.coalesce(rank_of_context(F.col("context")), F.lit(""))
+    rank = F.coalesce(rank_in_text(F.col("context")), F.lit(""))
     return rows.withColumn("rank_category", rank).withColumns({
         "confidence": F.when(F.col("rank_category") == "", 0.5).otherwise(0.7),
         "birth_date_raw": F.when(is_valid_date(F.col("birth_date_raw")), F.col("birth_date_raw")),

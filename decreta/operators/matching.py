@@ -112,26 +112,33 @@ def candidates(prepared: DataFrame) -> DataFrame:
     )
 
 
-def _inline_top(names: DataFrame, choices: DataFrame, k: int, needed: Column | None = None) -> DataFrame:
+def _inline_top(names: DataFrame, choices: DataFrame, k: int, needed: Column | None = None,
+                at_least: float | None = None) -> DataFrame:
     """Best ``k`` choices per name, scored inside the row (where ``needed``).
 
     The registry, whose size was checked, is one array computed by a scalar subquery:
-    no pair ever becomes a row and the names are not shuffled.
+    no pair ever becomes a row and the names are not shuffled. With ``at_least``, only
+    choices whose trigram count is close enough to reach that score are scored.
     """
-    table = choices.select(F.struct("ord", "choice", "canonical", "sport_id",
-                                    trigrams(F.col("choice")).alias("tri")).alias("c"))
-    registry = table.agg(F.array_sort(F.collect_list("c")).alias("all")).scalar()
+    table = choices.select("ord", "choice", "canonical", "sport_id", trigrams(F.col("choice")).alias("tri"))
+    table = table.withColumn("n", F.size("tri"))
+    registry = table.agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias("all")).scalar()
 
     def scored(c: Column) -> Column:
         score = trigram_score(F.col("name"), c["choice"], F.col("_tri"), c["tri"])
         return F.struct((-score).alias("neg"), c["ord"].alias("ord"), c["choice"].alias("choice"),
                         c["canonical"].alias("canonical"), c["sport_id"].alias("sport_id"))
 
-    ranked = names.withColumns({"_tri": trigrams(F.col("name")), "_all": registry}).withColumn(
-        "_top", F.when(F.lit(True) if needed is None else needed,
-                       F.slice(F.array_sort(F.transform("_all", scored)), 1, k))
-    )
-    return ranked.drop("_tri", "_all")
+    pool = F.col("_all")
+    if at_least is not None:
+        t = max(at_least - _MAX_BONUS, 0.01)
+        n = F.col("_n")
+        pool = F.filter(pool, lambda c: (c["n"] >= n * t - 1e-9) & (n >= c["n"] * t - 1e-9))
+    top = F.slice(F.array_sort(F.transform(pool, scored)), 1, k)
+    ranked = names.withColumn("_tri", trigrams(F.col("name"))).withColumns(
+        {"_n": F.size("_tri"), "_all": registry}
+    ).withColumn("_top", F.when(F.lit(True) if needed is None else needed, top))
+    return ranked.drop("_tri", "_n", "_all")
 
 
 def _joined_top(names: DataFrame, choices: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -231,10 +238,13 @@ def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIE
 
 def match_names(names: DataFrame, registry: DataFrame, aliases: DataFrame,
                 threshold: float = K.REVIEW_MATCH, scorer: str = "trigram",
-                inline_limit: int = INLINE_REGISTRY) -> DataFrame:
+                inline_limit: int = INLINE_REGISTRY, complete: bool = True) -> DataFrame:
     """Full cascade over the distinct values of column ``name``.
 
     Result: ``input_name, canonical_name, sport_id, confidence, method, alternatives``.
+    Every match at or above ``threshold`` is found. Without ``complete``, choices that
+    cannot reach it are not scored, so alternatives and the confidence of unmatched
+    names leave them out.
     """
     prepared = prepare_registry(registry, aliases)
     choices = candidates(prepared)
@@ -243,7 +253,7 @@ def match_names(names: DataFrame, registry: DataFrame, aliases: DataFrame,
     hit = F.col("method").isNotNull()
     if scorer == "trigram" and _fits_inline(choices, inline_limit):
         # One pass: the fuzzy stage runs inside the row, for unmatched names only.
-        ranked = _inline_top(looked_up, choices, _TOP, needed=~hit)
+        ranked = _inline_top(looked_up, choices, _TOP, ~hit, None if complete else threshold)
         out = ranked.select("name", *[
             (F.when(hit, F.col(n)).otherwise(c) if n in looked_up.columns else c).alias(n)
             for n, c in _verdict(threshold).items()])
