@@ -12,10 +12,12 @@ from decreta.functions.text import strip
 
 
 def trigrams(c: Column) -> Column:
-    """Distinct character trigrams of the padded lower-case name."""
+    """Distinct character trigrams of the padded lower-case name.
+
+    A capturing lookahead reads all overlapping windows in one native expression.
+    """
     padded = F.concat(F.lit("  "), strip(F.lower(c)), F.lit(" "))
-    starts = F.sequence(F.lit(1), F.length(padded) - 2)
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(padded, i, F.lit(3))))
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit("(?s)(?=(.{3}))"), F.lit(1)))
 
 
 def jaccard(shared: Column, size_a: Column, size_b: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from decreta.queries.model import table
+from decreta.session import staged
 
 SURNAMES = ["Иванов", "Петров", "Сидоров", "Козлов", "Морозов", "Волков", "Лебедев"]
 FIRST = ["Иван", "Пётр", "Алексей", "Дмитрий", "Сергей"]
@@ -62,8 +63,12 @@ def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
       WHEN 0 THEN {page.format(rows=line(row.format(sport=f['sport'])), cats=line(f['judge']))}
       WHEN 1 THEN concat('О подтверждении спортивных разрядов. Подтвердить:\\n', {line(free)})
       ELSE concat('Приказ о присвоении спортивных разрядов по видам спорта\\n', {line(section)}) END"""
-    return docs.selectExpr("o_orderkey AS doc_id", "order_date",
-                           "CASE WHEN o_orderkey % 3 = 0 THEN 'moskva_tstisk' ELSE '' END AS source_code", f"{text} AS text")
+    texts = docs.selectExpr("o_orderkey AS doc_id", "order_date",
+                            "CASE WHEN o_orderkey % 3 = 0 THEN 'moskva_tstisk' ELSE '' END AS source_code", f"{text} AS text")
+    # Landed as a table, like texts that another job recognised; even files, as the
+    # jobs that read them are bound by pattern matching.
+    files = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return staged(texts.repartition(files), "order-texts")
 
 
 def sport_registry(spark: SparkSession) -> DataFrame:
