@@ -141,6 +141,16 @@ def _inline_top(names: DataFrame, choices: DataFrame, k: int, needed: Column | N
     return ranked.drop("_tri", "_n", "_all")
 
 
+def rank_candidates(names: DataFrame, choices: DataFrame, k: int = _TOP) -> DataFrame:
+    """The ``k`` most similar choices of each name as rows, ties in registry order."""
+    if not _fits_inline(choices, INLINE_REGISTRY):
+        raise ValueError("ranking every choice needs a registry within INLINE_REGISTRY names")
+    shown = F.transform("_top", lambda x, i: F.struct(
+        x["choice"].alias("choice"), x["canonical"].alias("canonical"), (i + 1).alias("rank"),
+        (-x["neg"]).alias("score")))
+    return _inline_top(names, choices, k).select("name", F.explode(shown).alias("c")).select("name", "c.*")
+
+
 def _joined_top(names: DataFrame, choices: DataFrame, k: int, threshold: float) -> DataFrame:
     """Best ``k`` choices per name for a registry too large to inline.
 
