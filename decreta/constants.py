@@ -49,7 +49,7 @@ WHITESPACE = (
 # --- document type and action -----------------------------------------------
 ACTION_RULES = [
     ("присвоить", "assignment"),
-    ("подтвердить|считать\\s+подтвердив", "confirmation"),
+    ("(?U)подтвердить|считать\\s+подтвердив", "confirmation"),
     ("отказать", "refusal"),
     ("лишить", "revocation"),
     ("восстановить", "restoration"),
@@ -168,7 +168,11 @@ AWARD_LINE = r"(?U)([А-ЯЁ][а-яё]+(?:\s+[А-ЯЁ][а-яё]+)*)\s*-\s*(.+)"
 TABLE_LAYOUT_SOURCES = ["moskva_tstisk", "moskva_moskumsport"]
 
 # --- readable characters ----------------------------------------------------
-UNREADABLE = r"""(?U)[^А-ЯЁа-яёA-Za-z0-9\s\x1c-\x1f.,;:\-()"'«»№/]"""
+READABLE = (
+    "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯЁабвгдежзийклмнопрстуфхцчшщъыьэюяё"
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    + WHITESPACE + ".,;:-()\"'«»№/"
+)
 
 # --- pages ------------------------------------------------------------------
 HREF_PDF = r"""href=["']([^"']*\.pdf)["']"""

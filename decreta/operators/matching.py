@@ -203,6 +203,16 @@ def _token_sort_top(names: DataFrame, choices: DataFrame, k: int) -> DataFrame:
     return names.join(tops, "name", "left")
 
 
+def spread_names(names: DataFrame) -> DataFrame:
+    """Distinct names over all shuffle partitions.
+
+    Scoring costs time, not bytes, so the few bytes of distinct names must not be
+    merged into one task.
+    """
+    n = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.distinct().repartition(n, "name")
+
+
 def _fits_inline(choices: DataFrame, limit: int) -> bool:
     return choices.limit(limit + 1).count() <= limit
 
@@ -235,6 +245,7 @@ def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIE
     reach it, and a name without any gets confidence 0.
     """
     small = _fits_inline(choices, inline_limit)
+    names = spread_names(names)
     if scorer == "token_sort":
         if not small:
             raise ValueError("the token-sort scorer needs a registry within inline_limit")
@@ -258,7 +269,7 @@ def match_names(names: DataFrame, registry: DataFrame, aliases: DataFrame,
     """
     prepared = prepare_registry(registry, aliases)
     choices = candidates(prepared)
-    given = names.select(strip(F.col("name")).alias("name")).filter(F.col("name") != "").distinct()
+    given = spread_names(names.select(strip(F.col("name")).alias("name")).filter(F.col("name") != ""))
     looked_up = exact_cascade(given, prepared)
     hit = F.col("method").isNotNull()
     if scorer == "trigram" and _fits_inline(choices, inline_limit):

@@ -30,7 +30,9 @@ def fold_items(assignments: DataFrame, items_per_part: int = ITEMS_PER_PART) ->
     collected, so no task gathers an unbounded order. Ordinary orders are one part.
     """
     part = F.floor((F.coalesce("row_no", F.lit(1)) - 1) / items_per_part).cast("int")
-    folded = assignments.groupBy("order_id", part.alias("part")).agg(
+    # Spread by order and part, so that a large order is never gathered by one task.
+    parted = assignments.withColumn("part", part).repartition("order_id", "part")
+    folded = parted.groupBy("order_id", "part").agg(
         F.array_sort(F.collect_list(F.struct("created_at", "row_no", "id", export_item().alias("item")))).alias("_all"),
         F.bool_or(F.col("action") == "assignment").alias("has_assignment"),
     )
@@ -48,7 +50,8 @@ def exchange(orders: DataFrame, assignments: DataFrame, sources: DataFrame, stat
         F.col("source_code") == source_code if source_code else None,
         within_dates("order_date", date_from, date_to),
     ).select("id", "order_number", "order_date", "inn", "signed_by")
-    parts = fold_items(assignments, items_per_part).withColumnRenamed("order_id", "id")
+    wanted = assignments.join(picked.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+    parts = fold_items(wanted, items_per_part).withColumnRenamed("order_id", "id")
     flags = parts.groupBy("id").agg(F.bool_or("has_assignment").alias("assignment"))
     joined = picked.join(flags, "id", "left").join(parts.drop("has_assignment"), "id", "left")
     empty = F.array().cast(

@@ -300,9 +300,8 @@ def registry_codes(spark, d):
 SELECT doc_id, length(regexp_replace(text, '{_READABLE}', '', 'g')) AS readable,
   ROUND(CASE WHEN length(text) >= 10 THEN CAST(length(regexp_replace(text, '{_READABLE}', '', 'g')) AS DOUBLE) / length(text) ELSE 0 END, 6) AS ratio FROM documents""")
 def readability(spark, d):
-    t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", X.readable_chars(t).cast("bigint").alias("readable"),
-                                               F.round(X.readable_ratio(t), 6).alias("ratio"))
+    return table(spark, d, "documents").select("doc_id", X.readability(F.col("text")).alias("r")).select(
+        "doc_id", F.col("r.readable").cast("bigint").alias("readable"), F.round("r.ratio", 6).alias("ratio"))
 
 
 @query("route_pages", f"""
