@@ -102,17 +102,21 @@ def group_attachments(links: DataFrame) -> DataFrame:
     )
 
 
-def extract_embedded_json(pages: DataFrame, js_var: str = "$obj", keep: tuple[str, ...] = ()) -> DataFrame:
+def extract_embedded_json(pages: DataFrame, js_var: str | Column = "$obj",
+                          keep: tuple[str, ...] = ()) -> DataFrame:
     """Documents listed in a JSON value assigned to a script variable of the page.
 
     Accepts an array, an object that holds the list under ``data`` or ``items``, and a
-    list given as an object of objects; keys have several accepted spellings.
+    list given as an object of objects; keys have several accepted spellings. The
+    variable may be a column: each source names its own.
     """
-    import re
+    var = F.concat(F.lit(r"(?s)\Q"), js_var if isinstance(js_var, Column) else F.lit(js_var), F.lit(r"\E\s*=\s*"))
+
+    def assigned(value: str) -> Column:
+        pattern = F.concat(var, F.lit(value))
+        return F.nullif(F.call_function("regexp_extract", F.col("html"), pattern, F.lit(1)), F.lit(""))
 
-    var = re.escape(js_var)
-    as_object = F.nullif(F.regexp_extract("html", rf"(?s){var}\s*=\s*(\{{.*?\}});", 1), F.lit(""))
-    as_array = F.nullif(F.regexp_extract("html", rf"(?s){var}\s*=\s*(\[.*?\]);", 1), F.lit(""))
+    as_object, as_array = assigned(r"(\{.*?\});"), assigned(r"(\[.*?\]);")
     fields = F.from_json(as_object, "map<string,string>")
     listed = F.when(
         F.map_contains_key(fields, "data"), F.try_element_at(fields, F.lit("data"))

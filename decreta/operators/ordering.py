@@ -87,10 +87,15 @@ def fill_repeat_marks(df: DataFrame, keys: Sequence[str], position: str, column:
     ).drop("_filled")
 
 
-def change_status(snapshots: DataFrame, key: str, at: str, fingerprint: str) -> DataFrame:
-    """``first``, ``unchanged`` or ``changed`` of each snapshot against the last known one."""
-    month = F.date_trunc("month", F.col(at))
-    seen = running_value(snapshots, [key], [at], month, F.col(fingerprint), "previous",
+def change_status(snapshots: DataFrame, key: str, at: str, fingerprint: str,
+                  chunk: str = "hour") -> DataFrame:
+    """``first``, ``unchanged`` or ``changed`` of each snapshot against the last known one.
+
+    ``chunk`` is the time unit a page's snapshots are split by, so that a page polled
+    far more often than the rest is still spread over tasks.
+    """
+    span = F.date_trunc(chunk, F.col(at))
+    seen = running_value(snapshots, [key], [at], span, F.col(fingerprint), "previous",
                          include_current=False)
     return seen.withColumn(
         "change",

@@ -40,7 +40,7 @@ def expand_list_pages(sources: DataFrame) -> DataFrame:
     return pages.select("source_code", "list_no", "page_no", url.alias("url"))
 
 
-def discover(pages: DataFrame, sources: DataFrame, compat_json: bool = True) -> DataFrame:
+def discover(pages: DataFrame, sources: DataFrame) -> DataFrame:
     """Documents found on all pages, distinct per source, first occurrence kept.
 
     ``pages`` has ``source_code, list_no, page_no, url, html``; patterns come from each
@@ -57,13 +57,10 @@ def discover(pages: DataFrame, sources: DataFrame, compat_json: bool = True) ->
         listed.filter(F.col("source_type") != "json_embed"), F.col("link_regex"), keep,
         F.col("order_number_regex"), F.col("order_date_regex"), F.col("title_regex"),
     ).select(cols)
-    found = html
-    variables = [r[0] for r in cfg.filter("source_type = 'json_embed'").select(
-        F.coalesce("js_var", F.lit("$obj"))).distinct().limit(1000).collect()]
-    for var in variables:
-        one = listed.filter((F.col("source_type") == "json_embed") & (F.coalesce("js_var", F.lit("$obj")) == var))
-        found = found.unionByName(extract_embedded_json(one, var, keep).select(cols))
-    key = found.withColumn("_key", F.coalesce("file_url", "url"))
+    embedded = extract_embedded_json(
+        listed.filter(F.col("source_type") == "json_embed"), F.coalesce("js_var", F.lit("$obj")), keep
+    ).select(cols)
+    key = html.unionByName(embedded).withColumn("_key", F.coalesce("file_url", "url"))
     return keep_first(key, ["source_code", "_key"],
                       [F.col("list_no"), F.col("page_no"), F.col("pos")]).drop("_key")
 

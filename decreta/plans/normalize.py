@@ -9,6 +9,7 @@ from decreta import constants as K
 from decreta.functions.ranks import canonical_rank
 from decreta.functions.text import strip
 from decreta.operators.matching import match_names
+from decreta.session import broadcast_checked
 
 
 def normalize_sports(rows: DataFrame, registry: DataFrame, aliases: DataFrame,
@@ -48,4 +49,4 @@ def normalize_ranks(rows: DataFrame) -> DataFrame:
 def rank_attributes(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     """Category and sort order of a row's rank; null for ranks outside the table."""
     dim = ranks.select(F.col("name").alias("rank_category"), F.col("category").alias("rank_group"), "rank_order")
-    return rows.join(F.broadcast(dim), "rank_category", "left")
+    return rows.join(broadcast_checked(dim), "rank_category", "left")

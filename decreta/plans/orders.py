@@ -15,7 +15,7 @@ from decreta.operators.ordering import keep_first
 from decreta.operators.relational import url_policy
 from decreta.plans.extract import extract_assignments
 from decreta.plans.normalize import normalize_ranks, normalize_sports
-from decreta.session import staged
+from decreta.session import broadcast_checked, staged
 
 
 class Processed(NamedTuple):
@@ -44,11 +44,13 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
     already stored.
     """
     codes = sources.select(F.col("id").alias("source_id"), F.col("code").alias("source_code"))
-    queue = work_queue(orders, limit).join(codes, "source_id", "left")
+    # The order of the queue only matters where it is cut.
+    waiting = work_queue(orders, limit) if limit else orders.filter(F.col("status").isin("new", "downloaded"))
+    queue = waiting.join(broadcast_checked(codes), "source_id", "left")
     url = F.coalesce(F.nullif("file_url", F.lit("")), F.nullif("source_url", F.lit("")))
     checked = url_policy(queue.withColumn("_url", url), "_url", allowed_hosts)
     landed = texts.select(
-        F.col("order_id").alias("id"), "text", F.col("file_hash").alias("_hash"),
+        F.col("order_id").alias("id"), F.length("text").alias("text_length"), F.col("file_hash").alias("_hash"),
         F.col("page_count").alias("_pages"), F.col("ocr_method").alias("_method"),
         F.col("ocr_confidence").alias("_conf"),
     )
@@ -67,13 +69,15 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
     error = (
         F.when(F.col("_url").isNull(), "Нет URL для скачивания")
         .when(~F.col("url_allowed"), F.concat(F.lit("URL заблокирован (SSRF): "), F.col("_url")))
-        .when(F.col("text").isNull(), "Текст документа не получен")
+        .when(F.col("text_length").isNull(), "Текст документа не получен")
         .when(F.coalesce(F.col("_pages") > K.MAX_DOCUMENT_PAGES, F.lit(False)), "Превышен лимит страниц")
     )
     work = staged(work.withColumns({"_error": error, "_repeated": F.coalesce(repeated, F.lit(False))}), "work")
 
     ready = work.filter(F.col("_error").isNull() & ~F.col("_repeated"))
-    docs = ready.select(F.col("id").alias("doc_id"), "text", "order_date", "source_code")
+    # The texts themselves join last, for the orders that will be read.
+    docs = ready.select(F.col("id").alias("doc_id"), "order_date", "source_code").join(
+        texts.select(F.col("order_id").alias("doc_id"), "text"), "doc_id")
     if primary is not None:
         rows, rejects = primary
         answered = rows.select("doc_id").unionByName(
@@ -107,7 +111,7 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         "id", "source_id", "source_code", "order_number",
         F.when(F.col("error").isNotNull(), "failed").otherwise("extracted").alias("status"),
         F.col("_repeated").alias("skipped"), "stored_as", "records", "matched", "unmatched",
-        F.length("text").alias("text_length"), "error",
+        "text_length", "error",
         F.col("_hash").alias("file_hash"), F.col("_pages").alias("page_count"),
         F.col("_method").alias("ocr_method"), F.col("_conf").alias("ocr_confidence"),
     ), "results")

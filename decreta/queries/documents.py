@@ -118,16 +118,14 @@ def heading_fill(spark, d):
 
 
 @query("repeat_marks", """
-WITH x AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS pos FROM lineitem),
-y AS (SELECT *, CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE 'sport ' || l_partkey END AS v FROM x)
-SELECT l_suppkey, pos, COALESCE(last_value(v IGNORE NULLS) OVER (PARTITION BY l_suppkey ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '-«-') AS sport FROM y""")
+WITH x AS (SELECT l_orderkey, l_partkey, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos FROM lineitem),
+y AS (SELECT l_orderkey, CAST(pos AS INTEGER) AS pos, CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE 'sport ' || l_partkey END AS v FROM x)
+SELECT l_orderkey, pos, COALESCE(last_value(v IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '-«-') AS sport FROM y""")
 def repeat_marks(spark, d):
-    from pyspark.sql import Window
-    w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    rows = table(spark, d, "lineitem").select(
-        "l_suppkey", F.row_number().over(w).cast("bigint").alias("pos"),
-        F.when(F.col("l_partkey") % 3 == 0, "-«-").otherwise(F.concat(F.lit("sport "), "l_partkey")).alias("sport"))
-    return Ord.fill_repeat_marks(rows, ["l_suppkey"], "pos", "sport", K.REPEAT_MARK, chunk_rows=50)
+    rows = corpus.order_rows(spark, d).select("l_orderkey", F.posexplode("rows").alias("pos", "r")).select(
+        "l_orderkey", "pos",
+        F.when(F.col("r.p") % 3 == 0, "-«-").otherwise(F.concat(F.lit("sport "), F.col("r.p"))).alias("sport"))
+    return Ord.fill_repeat_marks(rows, ["l_orderkey"], "pos", "sport", K.REPEAT_MARK, chunk_rows=50)
 
 
 @query("category_block_lines", "WITH " + EXPECTED_SQL + """

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from decreta.functions.pages import page_fingerprint
-from decreta.operators.mutations import insert_absent
 from decreta.operators.ordering import change_status, keep_first, latest_per_key
+from decreta.operators.relational import not_stored
 from decreta.plans.changes import detect_changes
 from decreta.plans.orders import apply_processed, process_orders
 from decreta.sources.store import Store
@@ -38,9 +38,9 @@ def watch_pages(spark: SparkSession, landed: str, store: Store, checkpoint: str,
         sources, orders = store.read("registry_sources"), store.read("orders")
         keyed = sources.withColumn("id", F.col("code"))
         found = detect_changes(pages, keyed, orders, as_of())
-        fresh = found.new_orders.withColumns({
-            c: F.lit(None) for c in orders.columns if c not in found.new_orders.columns})
-        store.overwrite("orders", insert_absent(orders, fresh, ["id"], [F.col("created_at")]))
+        # Ids come from content, so a replayed batch finds its own orders and adds none.
+        once_each = keep_first(found.new_orders, ["id"], [F.col("created_at")])
+        store.append("orders", not_stored(once_each, orders, ["id"]))
         store.overwrite("registry_sources", found.sources.select(sources.columns))
 
     return _start(stream, body, checkpoint, once, interval)
@@ -116,7 +116,12 @@ def drain_orders(spark: SparkSession, landed_texts: str, store: Store, checkpoin
             allowed_hosts, registry, aliases, as_of(),
         )
         new_orders, new_rows = apply_processed(orders, rows, done, as_of())
-        store.overwrite("assignments", new_rows)
+        touched = done.rows.select("order_id").distinct()
+        if rows.join(touched, "order_id", "left_semi").isEmpty():
+            # Pending orders seldom have rows yet: add files instead of rewriting the table.
+            store.append("assignments", done.rows)
+        else:
+            store.overwrite("assignments", new_rows)
         store.overwrite("orders", new_orders)
         store.append("processing_log", done.log)
 
