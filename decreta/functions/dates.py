@@ -15,9 +15,14 @@ def to_dmy(c: Column) -> Column:
     return F.when(c.rlike(_DMY), F.try_to_date(c, "d.M.yyyy"))
 
 
+def is_valid_day(day: Column) -> Column:
+    """A day between 1930 and 2030, given as a date."""
+    return F.coalesce(F.year(day).between(1930, 2030), F.lit(False))
+
+
 def is_valid_date(c: Column) -> Column:
-    """A real day between 1930 and 2030."""
-    return F.coalesce(F.year(to_dmy(c)).between(1930, 2030), F.lit(False))
+    """Text that names a real day between 1930 and 2030."""
+    return is_valid_day(to_dmy(c))
 
 
 def age_in_years(birth: Column, on: Column) -> Column:
@@ -29,8 +34,13 @@ def is_plausible_birth(birth_raw: Column, order_date: Column) -> Column:
 
     An order without a date checks validity only.
     """
-    age = age_in_years(to_dmy(birth_raw), order_date)
-    return is_valid_date(birth_raw) & F.coalesce(age.between(5, 100), F.lit(True))
+    return is_plausible_day(to_dmy(birth_raw), order_date)
+
+
+def is_plausible_day(birth: Column, order_date: Column) -> Column:
+    """The same for a birth date that is parsed already."""
+    age = age_in_years(birth, order_date)
+    return is_valid_day(birth) & F.coalesce(age.between(5, 100), F.lit(True))
 
 
 def birth_year_suspicious(birth: Column, order_date: Column) -> Column:

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decreta import constants as K
-from decreta.functions.dates import is_plausible_birth, is_valid_date, normalize_date_text
+from decreta.functions.dates import is_plausible_birth, is_valid_date, is_valid_day, normalize_date_text
 from decreta.functions.names import clean_person_name
 from decreta.functions.text import collapse, strip
 
 
 def row_confidence(fio: Column, birth_raw: Column, sport: Column, rank: Column,
-                   person_id: Column) -> Column:
-    """Share of expected fields present; a missing optional id halves its weight."""
+                   person_id: Column, birth: Column | None = None) -> Column:
+    """Share of expected fields present; a missing optional id halves its weight.
+
+    ``birth`` is the parsed birth date where the caller has it.
+    """
     present = [
         F.size(F.split(strip(collapse(fio)), " ")) >= 2,
-        is_valid_date(birth_raw),
+        is_valid_date(birth_raw) if birth is None else is_valid_day(birth),
         F.length(sport) > 2,
         F.length(rank) > 3,
         person_id != 0,

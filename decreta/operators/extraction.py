@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decreta import constants as K
-from decreta.functions.dates import is_plausible_birth, is_valid_date
+from decreta.functions.dates import is_plausible_day, is_valid_day, to_dmy
 from decreta.functions.names import unglue_words
 from decreta.functions.ranks import normalize_rank, rank_in_text
 from decreta.functions.records import row_confidence
@@ -70,6 +70,11 @@ def typed_lines(docs: DataFrame) -> DataFrame:
     }).drop("_header", "_numbers")
 
 
+def with_birth_date(rows: DataFrame) -> DataFrame:
+    """Parse the birth date once; every later check reads the date."""
+    return rows.withColumn("birth_date", to_dmy(F.col("birth_date_raw")))
+
+
 def _field(i: int) -> Column:
     return strip(F.get(F.col("parts"), F.lit(i)))
 
@@ -204,16 +209,16 @@ def first_context_sport(phrases: DataFrame, matches: DataFrame,
 
 def finish_table(rows: DataFrame) -> DataFrame:
     """Confidence, rank and marks of table rows (reads ``order_date``)."""
-    confidence = row_confidence(F.col("fio"), F.col("birth_date_raw"), F.col("sport"),
-                                F.col("rank_text"), F.col("ias_id"))
-    odd = ~is_plausible_birth(F.col("birth_date_raw"), F.col("order_date"))
-    return rows.withColumns({
-        "confidence": confidence,
+    born = F.col("birth_date")
+    odd = ~is_plausible_day(born, F.col("order_date"))
+    scored = rows.withColumn("confidence", row_confidence(
+        F.col("fio"), F.col("birth_date_raw"), F.col("sport"), F.col("rank_text"), F.col("ias_id"), born))
+    return scored.withColumns({
         "rank_category": F.coalesce(normalize_rank(F.col("rank_text")), F.lit("")),
         "extra_fields": _extra(
             parse_method=F.lit("rule_based"), submission_date=F.col("submission_date"),
             birth_date_suspicious=F.when(odd, "true"),
-            needs_review=F.when(confidence < 0.5, "true"),
+            needs_review=F.when(F.col("confidence") < 0.5, "true"),
         ),
     })
 
@@ -229,7 +234,7 @@ def finish_free(rows: DataFrame) -> DataFrame:
     rank = F.coalesce(rank_in_text(F.col("context")), F.lit(""))
     return rows.withColumn("rank_category", rank).withColumns({
         "confidence": F.when(F.col("rank_category") == "", 0.5).otherwise(0.7),
-        "birth_date_raw": F.when(is_valid_date(F.col("birth_date_raw")), F.col("birth_date_raw")),
+        "birth_date_raw": F.when(is_valid_day(F.col("birth_date")), F.col("birth_date_raw")),
         "extra_fields": _extra(
             parse_method=F.lit("rule_based_freetext"),
             needs_review=F.when(F.col("rank_category") == "", "true"),
@@ -245,17 +250,18 @@ def _extra(**values: Column) -> Column:
 def post_process(rows: DataFrame) -> DataFrame:
     """First row per person and birth date of a document, repaired and cleared of noise.
 
-    The order of steps matters: distinct before glued names are split.
+    Reads ``birth_date``, the parsed ``birth_date_raw``. The order of steps matters:
+    distinct before glued names are split.
     """
     birth = F.coalesce("birth_date_raw", F.lit(""))
     once = keep_first(rows.withColumn("_birth", birth), ["doc_id", "fio", "_birth"],
                       [F.col("page_no"), F.col("line_no")]).drop("_birth")
     kept = once.filter(F.length("fio") >= 3).withColumn("fio", unglue_words(F.col("fio")))
     kept = kept.filter(~F.col("fio").rlike(K.GARBAGE_NAME))
-    raw = F.col("birth_date_raw")
-    given = raw.isNotNull() & (raw != "")
-    invalid = given & ~is_valid_date(raw)
-    odd = invalid | (given & F.col("order_date").isNotNull() & ~is_plausible_birth(raw, F.col("order_date")))
+    raw, born = F.col("birth_date_raw"), F.col("birth_date")
+    given = F.coalesce(raw != "", F.lit(False))
+    invalid = given & ~is_valid_day(born)
+    odd = invalid | (given & F.col("order_date").isNotNull() & ~is_plausible_day(born, F.col("order_date")))
     marked = F.map_concat(
         F.map_filter("extra_fields", lambda k, _: k != "birth_date_suspicious"),
         F.create_map(F.lit("birth_date_suspicious"), F.lit("true")),

@@ -212,7 +212,7 @@ def post_process(spark, d):
         "element_at(array('Иванов Иван', 'ШолинМаксим', 'Список лиц'), CAST(l_suppkey % 3 + 1 AS INT)) AS fio",
         "CASE WHEN l_partkey % 2 = 0 THEN '01.02.1980' ELSE '01.02.1901' END AS birth_date_raw", "CAST(0.9 AS DOUBLE) AS confidence",
         "map('parse_method', 'rule_based') AS extra_fields", "DATE '2001-01-01' AS order_date")
-    return X.post_process(rows).select("doc_id", "fio", "birth_date_raw", "confidence", F.col("line_no").cast("bigint").alias("first"))
+    return X.post_process(X.with_birth_date(rows)).select("doc_id", "fio", "birth_date_raw", "confidence", F.col("line_no").cast("bigint").alias("first"))
 
 
 @query("normalize_sports_and_ranks", "WITH " + EXPECTED_SQL + """

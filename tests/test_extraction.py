@@ -135,7 +135,7 @@ def test_post_process_order_of_steps(spark):
     ], "doc_id string, page_no int, line_no int, fio string, birth_date_raw string, confidence double").withColumns({
         "order_date": F.lit("2026-01-01").cast("date"), "extra_fields": F.create_map(F.lit("parse_method"), F.lit("x"))})
     got = [(r.line_no, r.fio, r.confidence, "birth_date_suspicious" in r.extra_fields)
-           for r in X.post_process(rows).orderBy("line_no").collect()]
+           for r in X.post_process(X.with_birth_date(rows)).orderBy("line_no").collect()]
     assert got == [(1, "Шолин Максим", 0.9, False), (3, "Шолин Максим", 0.7, False),
                    (6, "Иванов Иван", 0.6, True), (7, "Юный Пётр", 0.9, True)]
 
