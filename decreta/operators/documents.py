@@ -148,14 +148,15 @@ def assemble_documents(pages: DataFrame, doc: str, page: str = "page_no") -> Dat
     )
     methods = used.groupBy(doc, "method").agg(
         per_method.alias("_m"),
-        F.sum("confidence").alias("_conf"),
+        # Decimal sums are exact, so the mean does not depend on the order of arrival.
+        F.sum(F.col("confidence").cast("decimal(20,10)")).alias("_conf"),
         F.count(F.lit(1)).alias("_pages"),
         F.collect_list(filled).alias("_texts"),
     )
     merged = methods.groupBy(doc).agg(
         F.max("_m").alias("_top"),
         F.array_sort(F.flatten(F.collect_list("_texts"))).alias("_ordered"),
-        (F.sum("_conf") / F.sum("_pages")).alias("_mean"),
+        (F.sum("_conf").cast("double") / F.sum("_pages")).alias("_mean"),
         F.sum("_pages").alias("page_count"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("method", "_pages")))).alias("methods_used"),
     )

@@ -61,7 +61,7 @@ _PAGES_SQL = f"""pg AS (SELECT conv_id AS doc_id, turn AS page_no, text, CASE WH
 m AS (SELECT doc_id, method, COUNT(*) AS n, MIN(page_no) AS first FROM pg GROUP BY ALL),
 top AS (SELECT doc_id, method FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS rn FROM m) WHERE rn = 1)
 SELECT pg.doc_id, sha256(string_agg(text, chr(10) || chr(10) ORDER BY page_no)) AS text_hash, MAX(top.method) AS method,
-  ROUND(AVG(confidence), 3)::DOUBLE AS confidence, CAST(COUNT(*) AS INTEGER) AS page_count, COUNT(*) FILTER (WHERE pg.method = 'pypdf') AS layer_pages
+  ROUND(CAST(SUM(CAST(confidence AS DECIMAL(20, 10))) AS DOUBLE) / COUNT(*), 3)::DOUBLE AS confidence, CAST(COUNT(*) AS INTEGER) AS page_count, COUNT(*) FILTER (WHERE pg.method = 'pypdf') AS layer_pages
 FROM pg JOIN top ON pg.doc_id = top.doc_id GROUP BY pg.doc_id""")
 def document_assembly(spark, d):
     from decreta.functions.text import readable_chars
