@@ -1,6 +1,6 @@
 """Headline queries, timed; prints one JSON line.
 
-Seconds per query: the median of three runs after one warm-up run, writing to the no-op
+Seconds per query: the median of the runs after one warm-up run, writing to the no-op
 sink so that every row is produced. ``BENCH_SF_DIR``, ``BENCH_CPUS`` and ``BENCH_RUNS``
 override the defaults.
 """
@@ -26,7 +26,7 @@ HEADLINE = {
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     spark = local_session("bench", cpus, spark__driver__memory="20g")
     spark.sparkContext.setLogLevel("ERROR")
