@@ -18,8 +18,8 @@ from decreta.queries import corpus
 from decreta.queries import model as m
 from decreta.queries.corpus import EXPECTED_SQL
 from decreta.queries.documents import _LINKS_SQL
-from decreta.queries.model import AS_OF, A, L, O, S, table, with_sql
-from decreta.session import shared_folder, staged
+from decreta.queries.model import AS_OF, A, O, S, table, with_sql
+from decreta.session import shared_folder
 from decreta.sources import registry as Reg
 from decreta.sources.store import Store
 from decreta.streaming import jobs as J
