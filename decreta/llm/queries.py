@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from decreta.llm.quality import quality
 from decreta.llm.simhash import simhash_components
 
 QUERIES, ORACLES = {}, {}
@@ -25,3 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op2_simhash_near_dedup")
 def op2(spark, d):
     return simhash_components(table(spark, d, "documents"))
+
+
+@query("op6_quality_rules")
+def op6(spark, d):
+    return quality(table(spark, d, "documents"), table(spark, d, "labels"))
