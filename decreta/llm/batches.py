@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -56,3 +58,17 @@ def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type, from_pandas=False)
          for f in schema], schema=schema)
+
+
+def split_words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Codes of all words of the texts in order, the word of each code, words per text."""
+    words = [t.split() for t in texts]
+    flat = np.empty(sum(map(len, words)), object)
+    flat[:] = [w for ws in words for w in ws]
+    codes, vocabulary = pd.factorize(flat)
+    return codes.astype(np.int64), list(vocabulary), np.array([len(w) for w in words], np.int64)
+
+
+def word_hashes(codes: np.ndarray, vocabulary: list[bytes]) -> np.ndarray:
+    """XXH64 of every word, unsigned."""
+    return np.array([xxhash.xxh64_intdigest(w) for w in vocabulary], np.uint64)[codes] if len(codes) else np.zeros(0, np.uint64)

@@ -11,11 +11,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decreta.llm.batches import column, map_batches, raw
+from decreta.llm.batches import column, map_batches, raw, split_words, word_hashes
 
 BUCKETS_LOG2 = 17
 BYTE_NGRAMS = (3, 5)
@@ -44,11 +43,7 @@ class Batch:
         self.starts = np.concatenate([[0], np.cumsum(sizes + pad)[:-1]]).astype(np.int64) if self.n else sizes
         self.ends = self.starts + sizes
         self.bytes = np.frombuffer((b"\0" * pad).join([*texts, b""]), np.uint8)
-        words = [t.split() for t in texts]
-        self.n_words = np.array([len(w) for w in words], np.int64)
-        flat = np.empty(int(self.n_words.sum()), object)
-        flat[:] = [w for ws in words for w in ws]
-        self.ids, self.vocabulary = pd.factorize(flat)
+        self.ids, self.vocabulary, self.n_words = split_words(texts)
         self.doc = np.repeat(np.arange(self.n), self.n_words)
         self.word_ends = np.cumsum(self.n_words)
 
@@ -59,7 +54,7 @@ class Batch:
 
 def repeat_words(b: Batch, window: int = REPEAT_WINDOW) -> np.ndarray:
     """Words in windows of ``window`` words (a power of two) found twice or more in a text."""
-    n, ids = len(b.ids), b.ids.astype(np.int64)
+    n, ids = len(b.ids), b.ids
     step = 1
     while step < window and len(ids) > step:
         ids = pd.factorize(ids[:-step] * np.int64(n + 1) + ids[step:])[0].astype(np.int64)
@@ -97,7 +92,7 @@ def features(b: Batch):
     def bucket(values, kind):
         return ((values * _MIX) >> shift).astype(np.int64) + (kind << (BUCKETS_LOG2 - 2))
 
-    words = np.array([xxhash.xxh64_intdigest(w) for w in b.vocabulary], np.uint64)[b.ids] if len(b.ids) else np.zeros(0, np.uint64)
+    words = word_hashes(b.ids, b.vocabulary)
     yield bucket(words, 0), b.doc
     same = b.doc[:-1] == b.doc[1:]
     yield bucket((words[:-1] * np.uint64(31) + words[1:])[same], 1), b.doc[:-1][same]

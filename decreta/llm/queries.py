@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from decreta.llm.quality import quality
 from decreta.llm.simhash import simhash_components
+from decreta.llm.substring import substring_dedup
 
 QUERIES, ORACLES = {}, {}
 
@@ -31,3 +32,19 @@ def op2(spark, d):
 @query("op6_quality_rules")
 def op6(spark, d):
     return quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op10_substring_dedup", r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, len(words) - 48)) AS i, words FROM w WHERE len(words) >= 50),
+windows AS (SELECT doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) AS h FROM starts),
+earlier AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN earlier USING (h) WHERE doc_id > first),
+removed AS (SELECT doc_id, list(i) AS places FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN places IS NULL THEN words ELSE
+    [words[j] FOR j IN range(1, len(words) + 1) IF NOT list_contains(places, j)] END, ' ')) AS kept_sha256
+FROM w LEFT JOIN removed USING (doc_id)""")
+def op10(spark, d):
+    return substring_dedup(table(spark, d, "documents"))
