@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from decreta.llm.packing import pack_documents
 from decreta.llm.quality import quality
 from decreta.llm.simhash import simhash_components
 from decreta.llm.substring import substring_dedup
+from decreta.llm.token_files import read_tokens, write_tokens
+from decreta.session import shared_folder
 
 QUERIES, ORACLES = {}, {}
 
@@ -36,7 +42,7 @@ def op6(spark, d):
 
 @query("op10_substring_dedup", r"""
 WITH w AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+  SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents),
 starts AS (SELECT doc_id, unnest(range(1, len(words) - 48)) AS i, words FROM w WHERE len(words) >= 50),
 windows AS (SELECT doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) AS h FROM starts),
 earlier AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
@@ -48,3 +54,15 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places),
 FROM w LEFT JOIN removed USING (doc_id)""")
 def op10(spark, d):
     return substring_dedup(table(spark, d, "documents"))
+
+
+@query("op5_best_fit_packing")
+def op5(spark, d):
+    return pack_documents(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=0)
+
+
+@query("op9_token_files")
+def op9(spark, d):
+    path = f"{shared_folder(spark)}/staged/token-files-{uuid.uuid4().hex}"
+    write_tokens(table(spark, d, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return read_tokens(spark, path)
