@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from decreta.llm.packing import pack_documents
 from decreta.llm.quality import quality
+from decreta.llm.secrets import scan_secrets
 from decreta.llm.simhash import simhash_components
 from decreta.llm.substring import substring_dedup
 from decreta.llm.token_files import read_tokens, write_tokens
@@ -66,3 +67,8 @@ def op9(spark, d):
     path = f"{shared_folder(spark)}/staged/token-files-{uuid.uuid4().hex}"
     write_tokens(table(spark, d, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return read_tokens(spark, path)
+
+
+@query("op3_secret_scan")
+def op3(spark, d):
+    return scan_secrets(table(spark, d, "documents"))

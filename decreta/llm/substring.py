@@ -233,15 +233,16 @@ def covered(intervals: list | None, n: int) -> np.ndarray:
 
 
 def with_intervals(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
-    """``docs`` with a column ``repeats``: the covered stretches, null where there are none.
+    """``docs`` with a column ``_repeats``: the covered stretches, null where there are none.
 
     Rows keep all their columns. A row with a null id is neither cut nor a source.
     """
-    keyed = docs.withColumn("row", F.xxhash64("text"))
-    known = keyed.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "row", "text")
+    known = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
     found = repeated_intervals(known, window, **sizes)
-    lists = found.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "end")).alias("repeats"))
-    return keyed.join(lists, ["doc_id", "row"], "left").drop("row")
+    lists = found.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_list(F.struct("start", "end")).alias("_repeats"))
+    same = (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_row"))
+    return docs.join(lists, same, "left").select(*docs.columns, "_repeats")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
@@ -253,7 +254,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame
     is judged against smaller ids only, so equal rows agree.
     """
     def fn(batch):
-        texts, repeats = raw(batch), column(batch, "repeats").to_pylist()
+        texts, repeats = raw(batch), column(batch, "_repeats").to_pylist()
         n, removed, digest = [], [], []
         for text, intervals in zip(texts, repeats):
             words = text.split()
