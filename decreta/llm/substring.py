@@ -15,7 +15,9 @@ segments are all that is left, and no bucket grows with a frequent passage.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,8 @@ BUCKET, SHARD_WORDS = 1_000, 200_000
 _BASE = 0x9E3779B97F4A7C15  # an odd multiplier, for polynomial hashes modulo 2^64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POSITION_BITS = np.uint64(30)
-SEGMENT = "key long, cls long, doc_id long, row long, at long, n int, anchor long, low int, high int"
+SEGMENT = "key long, cls long, doc_id long, row long, at int, n int, anchor int"
+PART = "root_key long, root_cls long, key long, cls long, owner long, at int, anchor int, low int, high int, words binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -80,7 +83,7 @@ def segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def fn(batch):
         texts = raw(batch)
         codes, vocabulary, n_words = split_words(texts)
-        empty = {c: np.zeros(0, np.int64) for c in ("key", "cls", "doc_id", "row", "at", "n", "anchor", "low", "high")}
+        empty = {c: np.zeros(0, np.int64) for c in ("key", "cls", "doc_id", "row", "at", "n", "anchor")}
         if len(codes) < window:
             return empty
         hashes = Hasher(word_hashes(codes, vocabulary))
@@ -102,50 +105,59 @@ def segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
         return {
             "key": _signed(hashes(p, gram)), "cls": _signed(hashes(a, n)), "at": a - first[who], "n": n, "anchor": p - first[who],
             "doc_id": column(batch, "doc_id").take(pa.array(who)), "row": column(batch, "row").take(pa.array(who)),
-            "low": np.zeros(len(a), np.int32), "high": np.full(len(a), span - 1, np.int32),
         }
 
     return map_batches(docs, fn, SEGMENT)
 
 
-def _halves(h: Hasher, s: dict, window: int) -> dict:
-    """The segments again, their windows halved by how far before the anchor they begin."""
-    out = []
-    middle = (s["low"] + s["high"]) // 2
-    for low, high in ((s["low"], middle), (middle + 1, s["high"])):
-        begin = np.maximum(s["at"], s["anchor"] - high)
-        last = np.minimum(s["at"] + s["n"] - window, s["anchor"] - low)
-        ok = (low <= high) & (begin <= last)
-        core = (s["anchor"] - low)[ok], (window - high + low)[ok]
-        key = h(*core) ^ _mix((low[ok] * 1000 + high[ok]).astype(np.uint64))
-        n = (last - begin + window)[ok]
-        out.append({"key": _signed(key), "cls": _signed(h(begin[ok], n)), "at": begin[ok], "n": n, "anchor": s["anchor"][ok],
-                    "low": low[ok], "high": high[ok]})
-    return {c: np.concatenate([x[c] for x in out]) for c in out[0]}
+def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` segments (``key, cls, doc_id, row, at, n, anchor``) with their words' hashes.
 
+    A document's segments are never more than its words, so its list is bounded by it.
+    """
+    lists = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("key", "cls", "at", "n", "anchor")).alias("segments"))
+    schema = "key long, cls long, owner long, anchor int, words binary"
+    out = to_arrow_schema(StructType.fromDDL(schema))
 
-_WANTED = ("at", "n", "anchor", "low", "high", "key", "cls")
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                lists_, codes = column(part, "segments"), split_words(raw(part))
+                counts, values = np.diff(lists_.offsets.to_numpy()), lists_.flatten()
+                s = {c: values.field(c).to_numpy() for c in ("key", "cls", "at", "n", "anchor")}
+                words, first = word_hashes(*codes[:2]), np.repeat(np.cumsum(codes[2]) - codes[2], counts)
+                yield record({
+                    "key": s["key"], "cls": s["cls"], "owner": np.repeat(column(part, "doc_id").to_numpy(), counts),
+                    "anchor": s["anchor"] - s["at"], "words": [words[a:a + n].tobytes() for a, n in zip(first + s["at"], s["n"])]}, out)
 
+    return docs.join(lists, ["doc_id", "row"]).select("doc_id", "text", "segments").mapInArrow(run, schema)
 
-def _of_documents(docs: DataFrame, wanted: DataFrame, schema: str, fn) -> DataFrame:
-    """Join segments back to their documents and map ``fn(batch row, words, segments)``.
 
-    A document's segments are never more than its words.
-    """
-    lists = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*_WANTED)).alias("segments"))
+def _halves(rows: DataFrame, window: int) -> DataFrame:
+    """Each row's windows halved by how far before the anchor they begin."""
+    schema = PART
     out = to_arrow_schema(StructType.fromDDL(schema))
+    columns = [f.name for f in StructType.fromDDL(schema)]
+
+    def split(r):
+        words, middle = np.frombuffer(r["words"], np.uint64), (r["low"] + r["high"]) // 2
+        h = Hasher(words)
+        for low, high in ((r["low"], middle), (middle + 1, r["high"])):
+            begin = max(0, r["anchor"] - high)
+            last = min(len(words) - window, r["anchor"] - low)
+            if low <= high and begin <= last:
+                n = last - begin + window
+                core = h(np.array([r["anchor"] - low]), np.array([window - high + low])) ^ _mix(np.array([low * 1000 + high + 1], np.uint64))
+                yield r | {"key": int(_signed(core)[0]), "cls": int(_signed(h(np.array([begin]), np.array([n])))[0]), "at": r["at"] + begin,
+                           "anchor": r["anchor"] - begin, "low": low, "high": high, "words": words[begin:begin + n].tobytes()}
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, "text"):
-                texts, lists_, ids, rows = raw(part), column(part, "segments"), column(part, "doc_id").to_pylist(), column(part, "row").to_pylist()
-                for i, text in enumerate(texts):
-                    values = lists_[i].values
-                    s = {c: values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in _WANTED}
-                    codes, vocabulary, _ = split_words([text])
-                    yield record(fn(ids[i], rows[i], word_hashes(codes, vocabulary), s), out)
+            for at in range(0, batch.num_rows, 2_000):
+                made = [x for r in batch.slice(at, 2_000).to_pylist() for x in split(r)]
+                yield record({c: [x[c] for x in made] for c in columns}, out)
 
-    return docs.dropDuplicates(["doc_id", "row"]).join(lists, ["doc_id", "row"]).select("doc_id", "row", "text", "segments").mapInArrow(run, schema)
+    return rows.select(columns).mapInArrow(run, schema)
 
 
 def _search(parts: DataFrame, window: int) -> DataFrame:
@@ -155,7 +167,7 @@ def _search(parts: DataFrame, window: int) -> DataFrame:
 
     def run(_, table):
         table = table.combine_chunks()
-        keys, classes, owners = (table.column(c).to_numpy() for c in ("key", "cls", "doc_id"))
+        keys, classes, owners = (table.column(c).to_numpy() for c in ("key", "cls", "owner"))
         buffers = table.column("words").to_pylist()
         lengths = np.array([len(b) // 8 for b in buffers], np.int64)
         words = np.frombuffer(b"".join(buffers), np.uint64)
@@ -174,51 +186,57 @@ def _search(parts: DataFrame, window: int) -> DataFrame:
         stop = np.append(begin[1:], len(seg)) - 1 if len(seg) else begin
         return pa.Table.from_batches([record({"key": keys[seg[begin]], "cls": classes[seg[begin]], "start": at[begin], "end": at[stop] + window}, out)])
 
-    return parts.groupBy("shard").applyInArrow(run, schema)
+    return parts.select("shard", "key", "cls", "owner", "words").groupBy("shard").applyInArrow(run, schema)
+
+
+def _intervals_of_classes(rows: DataFrame, window: int, bucket: int, shard_words: int) -> DataFrame:
+    """``root_key, root_cls, start, end``: stretches of each segment class that are covered
+    by windows of a class with a smaller owner. ``rows``: PART, one row per class."""
+    parts, results = rows, []
+    while True:
+        parts = staged(parts, "segment-parts")
+        size = F.length("words") / 8
+        classes = staged(parts.groupBy("key", "cls").agg(F.min("owner").alias("least"), F.max("owner").alias("most"), F.first(size).alias("n")), "part-classes")
+        buckets = staged(classes.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n_classes"), F.sum("n").alias("n_words"), F.min("least").alias("first"), F.max("most").alias("last"),
+        ).filter("first < last"), "part-buckets")
+        small = F.col("n_classes") <= bucket
+        total = buckets.agg(F.sum(F.when(small & (F.col("n_classes") > 1), F.col("n_words"))).alias("words"),
+                            F.max("n_classes").alias("most")).first()
+        live = staged(parts.join(classes.join(buckets.select("key", "n_classes"), "key").select("key", "cls", "least", "n_classes"), ["key", "cls"]), "live-parts")
+        results.append(live.filter("owner > least").selectExpr("root_key", "root_cls", "at AS start", "CAST(at + length(words) / 8 AS INT) AS end"))
+        open_ = live.filter("owner = least AND n_classes > 1")
+        if total["words"]:
+            shards = max(1, -(-int(total["words"]) // shard_words))
+            # Of parts with the same words and owner any one stands for all.
+            one = open_.filter(small).groupBy("key", "cls").agg(F.first("owner").alias("owner"), F.first("words").alias("words"))
+            hits = _search(one.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))), window)
+            results.append(staged(open_.filter(small).drop("words").join(hits, ["key", "cls"]).selectExpr(
+                "root_key", "root_cls", "CAST(at + start AS INT) AS start", "CAST(at + end AS INT) AS end"), "matches"))
+        if not total["most"] or total["most"] <= bucket:
+            return functools.reduce(DataFrame.unionByName, results)
+        parts = _halves(open_.filter(~small & (F.col("low") < F.col("high"))), window)
 
 
 def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bucket: int = BUCKET, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``doc_id, row, start, end``: stretches of words, end exclusive, covered by windows
     that also start in a document with a smaller id. They may overlap.
 
-    ``docs``: ``doc_id`` (not null), ``row`` (tells rows with one id apart), ``text``.
+    ``docs``: ``doc_id`` (not null), ``row`` (tells rows with one id apart), ``text``. The
+    texts are dealt out once, to read the words of the classes that are searched.
     """
-    schema = StructType.fromDDL("doc_id long, row long, start long, end long")
-    found = docs.sparkSession.createDataFrame([], schema)
-    level = segments(docs, window, gram)
-    while True:
-        level = staged(level, "segments")
-        ranges = level.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-        shared = staged(level.join(ranges.select("key"), "key"), "shared-segments")
-        classes = staged(shared.groupBy("key", "cls").agg(F.min("doc_id").alias("owner"), F.first("n").alias("n")), "segment-classes")
-        owned = shared.join(classes.select("key", "cls", "owner"), ["key", "cls"])
-        found = found.unionByName(owned.filter("doc_id > owner").selectExpr("doc_id", "row", "at AS start", "at + n AS end"))
-        buckets = staged(classes.groupBy("key").agg(F.count(F.lit(1)).alias("n_classes"), F.sum("n").alias("words")).filter("n_classes > 1"), "segment-buckets")
-        totals = buckets.agg(F.sum(F.when(F.col("n_classes") <= bucket, F.col("words"))).alias("words"),
-                             F.max("n_classes").alias("most")).first()
-        # Occurrences in the smallest document of their class are searched on.
-        open_ = staged(owned.filter("doc_id = owner").join(buckets.select("key", "n_classes"), "key"), "open-segments")
-        if totals["words"]:
-            shards = max(1, -(-totals["words"] // shard_words))
-            one = open_.filter(F.col("n_classes") <= bucket).groupBy("key", "cls").agg(
-                F.min(F.struct("doc_id", "row", "at", "n", "anchor", "low", "high")).alias("s")).select("key", "cls", "s.*")
-
-            def words_of(doc_id, _, words, s):
-                return {"key": s["key"], "cls": s["cls"], "doc_id": np.full(len(s["at"]), doc_id),
-                        "words": [words[a:a + n].tobytes() for a, n in zip(s["at"], s["n"])]}
-
-            parts = _of_documents(docs, one, "key long, cls long, doc_id long, words binary", words_of)
-            hits = _search(parts.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))), window)
-            found = found.unionByName(staged(open_.join(hits, ["key", "cls"]).selectExpr(
-                "doc_id", "row", "at + start AS start", "at + end AS end"), "matches"))
-        if not totals["most"] or totals["most"] <= bucket:
-            return found
-
-        def split(doc_id, row, words, s):
-            new = _halves(Hasher(words), s, window)
-            return new | {"doc_id": np.full(len(new["at"]), doc_id), "row": np.full(len(new["at"]), row)}
-
-        level = _of_documents(docs, open_.filter((F.col("n_classes") > bucket) & (F.col("low") < F.col("high"))), SEGMENT, split)
+    every = staged(segments(docs, window, gram), "segments")
+    keys = staged(every.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("key"), "shared-keys")
+    shared = staged(every.join(keys, "key"), "shared-segments")
+    classes = staged(shared.groupBy("key", "cls").agg(F.min(F.struct("doc_id", "row", "at", "n", "anchor")).alias("rep")), "segment-classes")
+    owned = staged(shared.join(classes.select("key", "cls", F.col("rep.doc_id").alias("owner")), ["key", "cls"]), "owned-segments")
+    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n_classes")).filter("n_classes > 1").select("key")
+    wanted = classes.join(staged(several, "several-classes"), "key").select("key", "cls", "rep.*")
+    parts = _words_of(docs, wanted).selectExpr(
+        "key AS root_key", "cls AS root_cls", "key", "cls", "owner", "0 AS at", "anchor", "0 AS low", f"{window - gram} AS high", "words")
+    inner = _intervals_of_classes(parts, window, bucket, shard_words).withColumnsRenamed({"root_key": "key", "root_cls": "cls"})
+    return owned.filter("doc_id > owner").selectExpr("doc_id", "row", "at AS start", "at + n AS end").unionByName(
+        owned.filter("doc_id = owner").join(inner, ["key", "cls"]).selectExpr("doc_id", "row", "at + start AS start", "at + end AS end"))
 
 
 def covered(intervals: list | None, n: int) -> np.ndarray:
@@ -266,3 +284,42 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame
 
     with_ = with_intervals(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), window, **sizes)
     return map_batches(with_, fn, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def without_words(text: bytes, gone: np.ndarray) -> bytes:
+    """The text without some of its words: what stays keeps its white space, and a space
+    stands for each stretch that goes."""
+    spans, out = [m.span() for m in _WORD.finditer(text)], []
+    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=1, append=1))
+    for first, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        out.append(text[spans[first][0]:spans[stop - 1][1]])
+    return b" ".join(out)
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
+    """``docs`` without the words that ``substring_dedup`` removes, with all columns.
+
+    A document that loses its last word goes; ``n_chars``, if there, is counted anew where
+    the text changed.
+    """
+    schema, names = to_arrow_schema(docs.schema), docs.columns
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                repeats = column(part, "_repeats").to_pylist()
+                hit = [i for i, x in enumerate(repeats) if x]
+                columns = {c: column(part, c).to_pylist() if c in ("text", "n_chars") else column(part, c) for c in names}
+                stay, texts = np.ones(part.num_rows, bool), raw(part.take(pa.array(hit, pa.int64()))) if hit else []
+                for i, text in zip(hit, texts):
+                    left = without_words(text, covered(repeats[i], len(text.split())))
+                    stay[i] = bool(left)
+                    columns["text"][i] = left.decode()
+                    if "n_chars" in columns:
+                        columns["n_chars"][i] = len(columns["text"][i])
+                yield record(columns, schema).filter(pa.array(stay))
+
+    return with_intervals(docs, window, **sizes).mapInArrow(run, docs.schema)
