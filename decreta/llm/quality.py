@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from decreta.llm.batches import column, map_batches, raw, split_words, word_hashes
+from decreta.llm.batches import column, map_batches, pieces, raw, split_words, word_hashes
 
 BUCKETS_LOG2 = 17
 BYTE_NGRAMS = (3, 5)
@@ -193,6 +193,22 @@ def train_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_C
     return spark.sparkContext.broadcast((np.frombuffer(fitted[0]["w"], np.float32), fitted[0]["slope"], fitted[0]["offset"]))
 
 
+def judge(model, min_probability: float):
+    """Function from texts to the columns of SCHEMA except ``doc_id``."""
+    def fn(texts: list[bytes]) -> dict:
+        b = Batch(texts)
+        numbers = base_numbers(b)
+        if model is None:
+            p, kept = [None] * b.n, ~numbers["base_failed"]
+        else:
+            w, slope, offset = model.value
+            p = _sigmoid(slope * _margin(b, w) + offset)
+            kept = ~numbers["base_failed"] & (p >= min_probability)
+        return numbers | {"probability": p, "kept": kept}
+
+    return fn
+
+
 def quality(docs: DataFrame, labels: DataFrame, min_probability: float = MIN_PROBABILITY, sample: int = SAMPLE_PER_CLASS) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``): the counts of SCHEMA, whether the
     base rules fail, the calibrated probability of being good, and ``kept``.
@@ -200,17 +216,18 @@ def quality(docs: DataFrame, labels: DataFrame, min_probability: float = MIN_PRO
     Null texts have no word and fail. Without labelled rows of both classes there is no
     classifier: the probability is null and the base rules decide alone.
     """
-    model = train_quality(docs, labels, sample)
+    decide = judge(train_quality(docs, labels, sample), min_probability)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_batches(rows, lambda batch: decide(raw(batch)) | {"doc_id": column(batch, "doc_id")}, SCHEMA)
 
-    def fn(batch):
-        b = Batch(raw(batch))
-        numbers = base_numbers(b)
-        if model is None:
-            p, kept = [None] * b.n, ~numbers["base_failed"]
-        else:
-            w, slope, offset = model.value
-            p = _sigmoid(slope * _margin(b, w) + offset)
-            kept = ~numbers["base_failed"] & (p >= min_probability)
-        return numbers | {"doc_id": column(batch, "doc_id"), "probability": p, "kept": kept}
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fn, SCHEMA)
+def keep_good(docs: DataFrame, labels: DataFrame, min_probability: float = MIN_PROBABILITY, sample: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
+    decide = judge(train_quality(docs, labels, sample), min_probability)
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                yield part.filter(pa.array(decide(raw(part))["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,15 +7,18 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from decreta.llm.chat import chat_trees, read_conversations
 from decreta.llm.packing import pack_documents
 from decreta.llm.quality import quality
 from decreta.llm.secrets import scan_secrets
 from decreta.llm.simhash import simhash_components
 from decreta.llm.substring import substring_dedup
 from decreta.llm.token_files import read_tokens, write_tokens
+from decreta.llm.vectors import near_vectors
 from decreta.session import shared_folder
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES = {"pipeline": corpus_pipeline.run}, {}
 
 
 def query(name, sql=None):
@@ -72,3 +75,45 @@ def op9(spark, d):
 @query("op3_secret_scan")
 def op3(spark, d):
     return scan_secrets(table(spark, d, "documents"))
+
+
+@query("op1_near_vectors", """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM sound UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id""")
+def op1(spark, d):
+    return near_vectors(table(spark, d, "embeddings"))
+
+
+# The escape that the template puts into control strings, and the marks around a turn.
+_FORMATTED = r"""regexp_replace({}, '([<\[])(\\*)(/?s>|/?INST\]|\|)', '\1\\\2\3', 'g')"""
+
+
+@query("op4_chat_trees", rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+s AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(length('<|im_start|>') + length({_FORMATTED.format("replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")}) + 1
+      + length({_FORMATTED.format("text")}) + length('<|im_end|>') + 1) AS chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(chars AS BIGINT) AS formatted_chars FROM s""")
+def op4(spark, d):
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return read_conversations(*chat_trees(rows, tokenizer), tokenizer)

@@ -96,11 +96,13 @@ def fingerprints_of(texts: list[bytes], words: int = 3) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``doc_id, fp``: one row per row of ``docs``; null text counts as empty."""
+    """``doc_id, row, fp``: one row per row of ``docs``; null text counts as empty. ``row``
+    is a hash of the text."""
     def fn(batch):
-        return {"doc_id": column(batch, "doc_id"), "fp": fingerprints_of(raw(batch), words).view(np.int64)}
+        return {"doc_id": column(batch, "doc_id"), "row": column(batch, "row"), "fp": fingerprints_of(raw(batch), words).view(np.int64)}
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fn, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+    return map_batches(rows, fn, "doc_id long, row long, fp long")
 
 
 def _segment_keys(fps: DataFrame) -> DataFrame:
@@ -188,6 +190,17 @@ def hamming_links(fps: DataFrame, max_bits: int = 2, bucket: int = BUCKET) -> Da
     return _spanning(small.select("fps").unionByName(twice.select("fps")), max_bits)
 
 
+def _grouped(docs: DataFrame, words: int, max_bits: int, bucket: int) -> DataFrame:
+    """``doc_id, row, fp, component, component_id`` of every row of ``docs``."""
+    prints = staged(fingerprints(docs, words), "fingerprints")
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    found = components(hamming_links(classes.select("fp"), max_bits, bucket))
+    joined = classes.join(found, classes["fp"] == found["node"], "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), "low")
+    least = joined.groupBy("component").agg(F.min("low").alias("component_id"))
+    return prints.join(joined.select("fp", "component").join(least, "component"), "fp")
+
+
 def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
     """SimHash near-duplicate groups of ``docs`` (``doc_id, text``, further columns unused).
 
@@ -197,13 +210,20 @@ def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 2, bucke
     with each other. Repeated rows stay and agree; a null doc_id is never the smallest
     while the group has another. An empty table gives an empty result.
     """
-    prints = staged(fingerprints(docs, words), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    found = components(hamming_links(classes.select("fp"), max_bits, bucket))
-    joined = classes.join(found, classes["fp"] == found["node"], "left").select(
-        "fp", F.coalesce("component", "fp").alias("component"), "low")
-    least = joined.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = joined.select("fp", "component").join(least, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    return _grouped(docs, words, max_bits, bucket).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group and all its columns: the row with
+    the smallest doc_id (a null one only if the group has no other), of equal ids the one
+    with the smallest hash of its text, of equal rows any one."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    rows = _grouped(docs, words, max_bits, bucket).groupBy("component", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies"))
+    best = rows.groupBy("component").agg(F.min_by(F.struct(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("copies").alias("_copies")), order).alias("b"))
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_row"))
+    left = docs.join(best.select("b.*"), same)
+    # Only rows that repeat an id and a text have to be brought together.
+    again = left.filter("_copies > 1").dropDuplicates(["_id", "_row"])
+    return left.filter("_copies = 1").unionByName(again).select(docs.columns)
