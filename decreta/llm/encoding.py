@@ -12,7 +12,8 @@ import os
 import re
 
 import numpy as np
-import pandas as pd
+
+from decreta.llm.batches import distinct
 
 # Parts that a worker keeps; beyond it the store starts anew.
 KEPT_PARTS = 400_000
@@ -58,11 +59,9 @@ class Encoder:
         for i in whole:
             cut[i] = [""]
         sizes = np.array([len(c) for c in cut], np.int64)
-        flat = np.empty(int(sizes.sum()), object)
-        flat[:] = [p for c in cut for p in c]
         heads = np.cumsum(sizes) - sizes
-        codes, parts = pd.factorize(flat)
-        later = self._parts(list(parts), self._later, " ")
+        codes, parts = distinct([p for c in cut for p in c])
+        later = self._parts(parts, self._later, " ")
         firsts = self._parts([c[0] for c in cut], self._first, "")
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             firsts[i] = ids

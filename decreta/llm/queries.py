@@ -6,10 +6,13 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from decreta.llm.chat import chat_trees, read_conversations
+from decreta.llm.langid import predict_languages, train_languages
 from decreta.llm.packing import pack_documents
+from decreta.llm.pieces import encode_pieces
 from decreta.llm.quality import quality
 from decreta.llm.secrets import scan_secrets
 from decreta.llm.simhash import simhash_components
@@ -117,3 +120,16 @@ def op4(spark, d):
     rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return read_conversations(*chat_trees(rows, tokenizer), tokenizer)
+
+
+@query("op7_language_id")
+def op7(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+    model = train_languages(docs.filter(~held_out & F.col("doc_id").isNotNull()))
+    return predict_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_sentence_pieces")
+def op8(spark, d):
+    return encode_pieces(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
