@@ -32,8 +32,6 @@ CHUNK_CHARS = 120_000
 HEADER_CHARS = 3000
 MIN_TEXT_CHARS = 50
 LINK_CONTEXT_CHARS = 500
-LOG_MESSAGE_CHARS = 2000
-ERROR_MESSAGE_CHARS = 1000
 AUTO_MATCH = 0.85
 REVIEW_MATCH = 0.70
 SECTION_MATCH = 0.80

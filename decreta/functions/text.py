@@ -54,17 +54,18 @@ def classify_first(c: Column, rules: Sequence[tuple[str, str]], default: str | N
     return out.otherwise(F.lit(default)) if out is not None else F.lit(default)
 
 
-def header_text(c: Column) -> Column:
-    return F.lower(F.substring(c, 1, K.HEADER_CHARS))
+def header_text(c: Column, chars: int | None = None) -> Column:
+    """Lower-cased text, or its first ``chars`` characters."""
+    return F.lower(c if chars is None else F.substring(c, 1, chars))
 
 
-def detect_action(c: Column) -> Column:
-    return bind(header_text(c), lambda head: classify_first(head, K.ACTION_RULES, "assignment"))
+def detect_action(c: Column, chars: int | None = None) -> Column:
+    return bind(header_text(c, chars), lambda head: classify_first(head, K.ACTION_RULES, "assignment"))
 
 
-def detect_assignment_type(c: Column) -> Column:
-    """Document type from keywords of its opening, in fixed priority."""
-    return bind(header_text(c), _type_of_header)
+def detect_assignment_type(c: Column, chars: int | None = None) -> Column:
+    """Document type from keywords of the text (its first ``chars``), in fixed priority."""
+    return bind(header_text(c, chars), _type_of_header)
 
 
 def _type_of_header(head: Column) -> Column:

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from decreta import constants as K
 from decreta.functions.text import (
@@ -42,37 +40,28 @@ def parse_awards(df: DataFrame, doc: str, text: str, pattern: str = K.AWARD_LINE
     )
 
 
+# Where the piece that starts after {at} characters ends: after the last blank line that
+# fits, else after the last line break, else at the full size.
+_PIECE_END = """CASE WHEN length({t}) - {at} <= {n} THEN length({t})
+  WHEN instr(reverse(substr({t}, {at} + 1, {n})), '\n\n') > 0 THEN {at} + {n} + 1 - instr(reverse(substr({t}, {at} + 1, {n})), '\n\n')
+  WHEN instr(reverse(substr({t}, {at} + 1, {n})), '\n') > 0 THEN {at} + {n} + 1 - instr(reverse(substr({t}, {at} + 1, {n})), '\n')
+  ELSE {at} + {n} END"""
+
+
 def chunk_text(df: DataFrame, doc: str, text: str, size: int = K.CHUNK_CHARS) -> DataFrame:
-    """Chunks of at most ``size`` characters, cut at a blank line, else at a line end.
+    """Chunks of at most ``size`` characters that put together are the text.
 
-    Texts that fit pass through without leaving the JVM; only long ones go to the
-    Arrow function, because each cut position depends on the one before.
+    A fold over column expressions collects the ends: any three chunks in a row hold more
+    than ``size`` characters, which bounds the number of steps. An empty text is one
+    empty chunk, a null text none.
     """
-
-    def cuts(texts: pd.Series) -> pd.Series:
-        def one(t: str) -> list[str]:
-            out, start, n = [], 0, len(t)
-            while n - start > size:
-                end = start + size
-                cut = max(t.rfind("\n\n", start, end), -1)
-                if cut <= start:
-                    cut = t.rfind("\n", start, end)
-                if cut <= start:
-                    cut = end
-                out.append(t[start:cut])
-                start = cut + 1
-            if start < n or not out:
-                out.append(t[start:])
-            return out
-
-        return texts.map(one)
-
-    cuts.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    split = F.pandas_udf(cuts, T.ArrayType(T.StringType()))
-    fits = F.length(text) <= size
-    whole = df.filter(fits).select(doc, F.lit(0).alias("chunk_no"), F.col(text).alias("chunk"))
-    long = df.filter(~fits).select(doc, F.posexplode(split(F.col(text))).alias("chunk_no", "chunk"))
-    return whole.unionByName(long)
+    last = "element_at(ends, -1)"
+    step = _PIECE_END.format(t=f"`{text}`", at=last, n=size)
+    ends = F.expr(f"""aggregate(sequence(1, 3 * CAST(ceil(length(`{text}`) / {size}) AS INT) + 1), array(0),
+      (ends, i) -> IF({last} >= length(`{text}`), ends, concat(ends, array({step}))))""")
+    parts = F.expr(f"""IF(size(_ends) = 1, array(''), transform(slice(_ends, 2, size(_ends) - 1),
+      (e, i) -> substr(`{text}`, _ends[i] + 1, e - _ends[i])))""")
+    return df.filter(F.col(text).isNotNull()).withColumn("_ends", ends).select(doc, F.posexplode(parts).alias("chunk_no", "chunk"))
 
 
 def render_prompt(df: DataFrame, template: str) -> DataFrame:
@@ -82,6 +71,12 @@ def render_prompt(df: DataFrame, template: str) -> DataFrame:
     return df.withColumn("prompt", render_template(template, fields, blanks))
 
 
+def answered_keys(df: DataFrame, key: Sequence[str], response: str) -> DataFrame:
+    """Keys whose response is an array, also an empty one: the model has answered."""
+    body = F.nullif(F.regexp_extract(response, r"(?s)\[.*\]", 0), F.lit(""))
+    return df.filter(F.from_json(body, "array<string>").isNotNull()).select(*key).distinct()
+
+
 def parse_json_response(df: DataFrame, key: Sequence[str], response: str) -> tuple[DataFrame, DataFrame]:
     """Model responses to typed rows and a table of rejects.
 

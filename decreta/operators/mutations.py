@@ -29,9 +29,11 @@ def partial_update(table: DataFrame, updates: DataFrame, key: str, columns: Sequ
     """Overwrite only the supplied (non-null) fields of the keyed rows.
 
     ``stamps`` are expressions over the updated row, applied to touched rows only.
-    Several updates of one key: the first in ``order`` wins.
+    Several updates of one key: the first in ``order`` wins, of equal ones (or without an
+    order) the one with the largest values, so that no row is ever doubled.
     """
-    ups = keep_first(updates, [key], list(order)) if order else updates
+    ties = [F.col(c).desc_nulls_last() for c in columns]
+    ups = keep_first(updates, [key], [*order, *ties])
     ups = ups.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_touched"))
     joined = table.join(ups, key, "left")
     fields = {c: F.coalesce(f"_new_{c}", c) for c in columns}
@@ -45,14 +47,9 @@ def update_orders(orders: DataFrame, updates: DataFrame, as_of: Column) -> DataF
     """Status and metadata of orders; ``extracted`` stamps the extraction time."""
     fields = ["status", "file_hash", "ocr_method", "ocr_confidence", "page_count", "error_message"]
     present = [f for f in fields if f in updates.columns]
-    cut = updates
-    if "error_message" in present:
-        cut = updates.withColumn(
-            "error_message", F.substring("error_message", 1, K.ERROR_MESSAGE_CHARS)
-        )
     stamp = {"extracted_at": F.when(F.col("_new_status") == "extracted", as_of)
              .otherwise(F.col("extracted_at"))}
-    return partial_update(orders, cut, "id", present, stamps=stamp)
+    return partial_update(orders, updates, "id", present, stamps=stamp)
 
 
 def replace_rows(table: DataFrame, incoming: DataFrame, key: str,

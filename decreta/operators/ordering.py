@@ -62,10 +62,14 @@ def running_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
         .filter(F.col("_carried").isNotNull())
         .drop("_end")
     )
+    # Null keys and chunks are groups of the windows, so they must meet here too.
+    names = [*keys, "_chunk"]
+    carried = carried.select(*[F.col(c).alias(f"_at_{c}") for c in names], "_carried")
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in names]
     return (
-        here.join(carried, [*keys, "_chunk"], "left")
+        here.join(carried, same, "left")
         .withColumn(out, F.coalesce("_here", "_carried"))
-        .drop("_chunk", "_value", "_here", "_carried")
+        .drop("_chunk", "_value", "_here", "_carried", *[f"_at_{c}" for c in names])
     )
 
 

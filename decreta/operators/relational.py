@@ -62,7 +62,14 @@ def log_enriched(log: DataFrame, sources: DataFrame, orders: DataFrame) -> DataF
     """Log entries with source code and order number where they have one."""
     src = sources.select(F.col("id").alias("source_id"), F.col("code").alias("source_code"))
     num = orders.select(F.col("id").alias("order_id"), "order_number")
-    return log.join(broadcast_checked(src), "source_id", "left").join(num, "order_id", "left")
+    return join_known(log.join(broadcast_checked(src), "source_id", "left"), num, "order_id")
+
+
+def join_known(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join in which rows without a key are not sent anywhere: they match nothing,
+    and mostly null keys would meet in one task."""
+    known = df.filter(F.col(key).isNotNull()).join(right, key, "left")
+    return known.unionByName(df.filter(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def new_documents(discovered: DataFrame, known: DataFrame) -> DataFrame:

@@ -76,6 +76,9 @@ def detect_changes(pages: DataFrame, sources: DataFrame, orders: DataFrame, as_o
                              & (F.size(F.coalesce(F.col("detect.list_urls"), F.array())) > 0))
     landed = pages.join(broadcast_checked(allowed.select(F.col("code").alias("source_code"))),
                         "source_code", "left_semi")
+    # Of several snapshots of a page the newest counts.
+    newest = [F.col("seen_at").desc_nulls_last()] if "seen_at" in pages.columns else []
+    landed = keep_first(landed, ["source_code", "list_no", "page_no"], [*newest, F.xxhash64("html"), F.col("url")])
     found = staged(discover(landed, allowed), "discovered")
     codes = broadcast_checked(sources.select(F.col("id").alias("source_id"), F.col("code").alias("source_code")))
     known = orders.join(codes, "source_id").select("source_code", "source_url", "file_url")

@@ -9,10 +9,6 @@ from decreta.functions.names import split_person_name
 from decreta.operators.relational import where_all, within_dates
 from decreta.session import broadcast_checked
 
-# Items of one exported document; larger orders continue in further parts.
-ITEMS_PER_PART = 10_000
-
-
 def export_item(fio: str = "fio") -> Column:
     name = split_person_name(F.col(fio))
     return F.struct(
@@ -23,27 +19,21 @@ def export_item(fio: str = "fio") -> Column:
     )
 
 
-def fold_items(assignments: DataFrame, items_per_part: int = ITEMS_PER_PART) -> DataFrame:
-    """Rows of each order folded into an array in row order.
+def fold_items(assignments: DataFrame) -> DataFrame:
+    """Rows of each order folded into an array in row order, in one pass.
 
-    The stored row number cuts an order into parts of bounded size before anything is
-    collected, so no task gathers an unbounded order. Ordinary orders are one part.
+    An order's rows come out of one document cell, which bounds the array.
     """
-    part = F.floor((F.coalesce("row_no", F.lit(1)) - 1) / items_per_part).cast("int")
-    # Spread by order and part, so that a large order is never gathered by one task.
-    parted = assignments.withColumn("part", part).repartition("order_id", "part")
-    folded = parted.groupBy("order_id", "part").agg(
+    folded = assignments.groupBy("order_id").agg(
         F.array_sort(F.collect_list(F.struct("created_at", "row_no", "id", export_item().alias("item")))).alias("_all"),
-        F.bool_or(F.col("action") == "assignment").alias("has_assignment"),
+        F.bool_or(F.col("action") == "assignment").alias("assignment"),
     )
-    return folded.select(
-        "order_id", "part", F.transform("_all", lambda x: x["item"]).alias("items"), "has_assignment")
+    return folded.select("order_id", F.transform("_all", lambda x: x["item"]).alias("items"), "assignment")
 
 
 def exchange(orders: DataFrame, assignments: DataFrame, sources: DataFrame, status: str = "approved",
-             source_code: str | None = None, date_from: str | None = None, date_to: str | None = None,
-             items_per_part: int = ITEMS_PER_PART) -> DataFrame:
-    """Export documents of the orders in a status; an order without rows has no items."""
+             source_code: str | None = None, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """One export document per order in a status; an order without rows has no items."""
     src = sources.select(F.col("id").alias("source_id"), F.col("code").alias("source_code"), "inn")
     picked = where_all(
         orders.filter(F.col("status") == status).join(broadcast_checked(src), "source_id"),
@@ -51,14 +41,11 @@ def exchange(orders: DataFrame, assignments: DataFrame, sources: DataFrame, stat
         within_dates("order_date", date_from, date_to),
     ).select("id", "order_number", "order_date", "inn", "signed_by")
     wanted = assignments.join(picked.select(F.col("id").alias("order_id")), "order_id", "left_semi")
-    parts = fold_items(wanted, items_per_part).withColumnRenamed("order_id", "id")
-    flags = parts.groupBy("id").agg(F.bool_or("has_assignment").alias("assignment"))
-    joined = picked.join(flags, "id", "left").join(parts.drop("has_assignment"), "id", "left")
+    joined = picked.join(fold_items(wanted).withColumnRenamed("order_id", "id"), "id", "left")
     empty = F.array().cast(
         "array<struct<lastName:string,firstName:string,middleName:string,birthDate:string,sport:string,rank:string>>")
     return joined.select(
-        "id", F.coalesce("part", F.lit(0)).alias("part"),
-        F.col("order_number").alias("order"), F.date_format("order_date", "yyyy-MM-dd").alias("issueDate"),
+        "id", F.col("order_number").alias("order"), F.date_format("order_date", "yyyy-MM-dd").alias("issueDate"),
         F.col("inn").alias("issuedBy"), F.col("signed_by").alias("signedBy"),
         F.coalesce("assignment", F.lit(False)).alias("assignment"), F.lit(None).cast("string").alias("file"),
         F.coalesce("items", empty).alias("items"),
@@ -72,4 +59,4 @@ def to_json_rows(df: DataFrame, out: str = "json") -> DataFrame:
 
 def write_exchange(documents: DataFrame, path: str) -> None:
     """JSON lines, one export document per line."""
-    documents.drop("id", "part").write.option("ignoreNullFields", "false").mode("overwrite").json(path)
+    documents.drop("id").write.option("ignoreNullFields", "false").mode("overwrite").json(path)

@@ -164,7 +164,7 @@ def daily_throughput(orders: DataFrame, as_of: Column, days: int = 30) -> DataFr
             F.count(F.lit(1)).alias("orders_processed"), F.sum("page_count").alias("pages_total"),
             F.avg("page_count").alias("avg_pages"), F.avg("ocr_confidence").alias("avg_confidence"),
         )
-        .orderBy(F.col("dt").desc()).limit(days)
+        .orderBy(F.col("dt").desc())
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from decreta import constants as K
 from decreta.functions.ranks import canonical_rank
 from decreta.functions.text import strip
+from decreta.operators.relational import join_known
 from decreta.operators.matching import match_names
 from decreta.session import broadcast_checked
 
@@ -25,7 +26,7 @@ def normalize_sports(rows: DataFrame, registry: DataFrame, aliases: DataFrame,
         F.col("sport_id").alias("_sport_id"), F.col("method").alias("match_method"),
         F.col("confidence").alias("match_confidence"), F.col("alternatives").alias("match_alternatives"),
     )
-    joined = rows.join(found, strip(F.col("sport")) == F.col("_name"), "left")
+    joined = join_known(rows.withColumn("_name", strip(F.col("sport"))), found, "_name")
     changed = F.col("_canonical").isNotNull() & (F.col("_canonical") != F.col("sport"))
     return joined.withColumns({
         "sport_original": F.when(changed, F.coalesce("sport_original", "sport")).otherwise(F.col("sport_original")),

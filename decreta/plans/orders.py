@@ -12,7 +12,7 @@ from decreta.functions.dates import parse_dmy
 from decreta.functions.text import fio_search_key
 from decreta.operators.mutations import natural_id, replace_rows, update_orders
 from decreta.operators.ordering import keep_first
-from decreta.operators.relational import url_policy
+from decreta.operators.relational import join_known, url_policy
 from decreta.plans.extract import extract_assignments
 from decreta.plans.normalize import normalize_ranks, normalize_sports
 from decreta.session import broadcast_checked, staged
@@ -33,13 +33,15 @@ def work_queue(orders: DataFrame, limit: int | None = None) -> DataFrame:
 
 def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allowed_hosts: DataFrame,
                    registry: DataFrame | None, aliases: DataFrame | None, as_of: Column,
-                   primary: tuple[DataFrame, DataFrame] | None = None, limit: int | None = None,
-                   force: bool = False) -> Processed:
+                   primary: tuple[DataFrame, DataFrame, DataFrame] | None = None, limit: int | None = None,
+                   force: bool = False, stored_orders: DataFrame | None = None) -> Processed:
     """Process the waiting orders in one plan.
 
     ``texts`` has ``order_id, text, file_hash, page_count, ocr_method, ocr_confidence``.
-    ``primary`` is what ``parse_json_response`` made of model responses (key ``doc_id``);
-    orders without a readable response fall back to the rules. A failed order becomes
+    ``primary`` is what ``parse_json_response`` made of model responses (key ``doc_id``)
+    and, third, their ``answered_keys``; orders without a readable response fall back to
+    the rules, and an empty answer is an answer. ``stored_orders`` are those whose files
+    count as known, by default ``orders``. A failed order becomes
     an update and a log entry, never a failed job. ``force`` repeats work whose file is
     already stored.
     """
@@ -54,14 +56,14 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         F.col("page_count").alias("_pages"), F.col("ocr_method").alias("_method"),
         F.col("ocr_confidence").alias("_conf"),
     )
-    stored = orders.filter(F.col("file_hash").isNotNull()).select(
+    stored = (orders if stored_orders is None else stored_orders).filter(F.col("file_hash").isNotNull()).select(
         F.col("file_hash").alias("_hash"), F.col("id").alias("stored_as"))
     stored = keep_first(stored, ["_hash"], [F.col("stored_as")])
-    work = checked.join(landed, "id", "left").join(stored, "_hash", "left")
+    work = join_known(checked.join(landed, "id", "left"), stored, "_hash")
     first_of_hash = keep_first(
         work.filter(F.col("_hash").isNotNull()), ["_hash"], [F.col("created_at"), F.col("id")]
     ).select(F.col("_hash"), F.col("id").alias("_first"))
-    work = work.join(first_of_hash, "_hash", "left")
+    work = join_known(work, first_of_hash, "_hash")
     repeated = F.lit(not force) & (
         (F.col("stored_as").isNotNull() & (F.col("stored_as") != F.col("id")))
         | (F.col("_first").isNotNull() & (F.col("_first") != F.col("id")))
@@ -70,7 +72,6 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         F.when(F.col("_url").isNull(), "Нет URL для скачивания")
         .when(~F.col("url_allowed"), F.concat(F.lit("URL заблокирован (SSRF): "), F.col("_url")))
         .when(F.col("text_length").isNull(), "Текст документа не получен")
-        .when(F.coalesce(F.col("_pages") > K.MAX_DOCUMENT_PAGES, F.lit(False)), "Превышен лимит страниц")
     )
     work = staged(work.withColumns({"_error": error, "_repeated": F.coalesce(repeated, F.lit(False))}), "work")
 
@@ -79,9 +80,7 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
     docs = ready.select(F.col("id").alias("doc_id"), "order_date", "source_code").join(
         texts.select(F.col("order_id").alias("doc_id"), "text"), "doc_id")
     if primary is not None:
-        rows, rejects = primary
-        answered = rows.select("doc_id").unionByName(
-            rejects.filter(F.col("item_no").isNotNull()).select("doc_id")).distinct()
+        rows, _, answered = primary
         by_rules = _rows_by_rules(docs.join(answered, "doc_id", "left_anti"), registry, aliases)
         by_model = rows.join(docs.select("doc_id", "order_date"), "doc_id").select(
             *[F.col(c) for c in by_rules.columns if c in rows.columns or c == "order_date"],
@@ -140,8 +139,12 @@ def _to_table(rows: DataFrame, as_of: Column) -> DataFrame:
 
 
 def _log(results: DataFrame, as_of: Column) -> DataFrame:
-    """Log entries of the batch; long messages are cut."""
-    stage = F.when(F.col("error").isNotNull(), "extract").when(F.col("skipped"), "dedup").otherwise("save")
+    """Log entries of the batch; the stage of a failure is the step that failed."""
+    failed = (
+        F.when(F.col("error").startswith("Нет URL") | F.col("error").startswith("URL заблокирован"), "download")
+        .when(F.col("text_length").isNull(), "ocr").otherwise("extract")
+    )
+    stage = F.when(F.col("error").isNotNull(), failed).when(F.col("skipped"), "dedup").otherwise("save")
     message = (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("skipped"), F.concat(F.lit("Файл уже обработан: "), F.coalesce("stored_as", F.lit(""))))
@@ -158,9 +161,8 @@ def _log(results: DataFrame, as_of: Column) -> DataFrame:
 
 
 def log_entries(entries: DataFrame) -> DataFrame:
-    """Entries ready to append: id from content, message cut to its limit."""
-    cut = entries.withColumn("message", F.substring("message", 1, K.LOG_MESSAGE_CHARS))
-    return cut.withColumn(
+    """Entries ready to append: id from content, messages whole."""
+    return entries.withColumn(
         "id", natural_id("order_id", "source_id", "stage", "message", "created_at")
     )
 

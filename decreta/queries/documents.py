@@ -83,18 +83,25 @@ def scan_analysis(spark, d):
     return Doc.scan_analysis(table(spark, d, "conversations").withColumnRenamed("text", "layer_text"), "conv_id")
 
 
-@query("chunk_invariants", """
-SELECT doc_id, TRUE AS complete, TRUE AS bounded FROM documents""")
+@query("chunk_invariants", r"""
+WITH RECURSIVE cuts AS (
+  SELECT doc_id, text, 0 AS k, 0 AS a, 0 AS b FROM documents
+  UNION ALL SELECT doc_id, text, k + 1, b, CASE WHEN length(text) - b <= 400 THEN length(text)
+    WHEN strpos(reverse(substr(text, b + 1, 400)), chr(10) || chr(10)) > 0 THEN b + 401 - strpos(reverse(substr(text, b + 1, 400)), chr(10) || chr(10))
+    WHEN strpos(reverse(substr(text, b + 1, 400)), chr(10)) > 0 THEN b + 401 - strpos(reverse(substr(text, b + 1, 400)), chr(10))
+    ELSE b + 400 END FROM cuts WHERE b < length(text))
+SELECT d.doc_id, CAST(greatest(1, count(c.k)) AS BIGINT) AS n_chunks, CAST(coalesce(max(c.b - c.a), 0) AS BIGINT) AS longest,
+  coalesce(string_agg(c.b, ',' ORDER BY c.k), '0') AS ends, sha256(d.text) AS joined
+FROM documents d LEFT JOIN cuts c ON c.doc_id = d.doc_id AND c.k > 0 GROUP BY d.doc_id, d.text""")
 def chunk_invariants(spark, d):
-    """Chunks put together again give the text but for the one character at each cut."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    size = 400
-    chunks = Doc.chunk_text(docs, "doc_id", "text", size)
-    per = chunks.groupBy("doc_id").agg(
-        F.sum(F.length("chunk")).alias("chars"), F.count(F.lit(1)).alias("n"), F.max(F.length("chunk")).alias("longest"))
-    return docs.select("doc_id", F.length("text").alias("len")).join(per, "doc_id").select(
-        "doc_id", F.col("len").between(F.col("chars"), F.col("chars") + F.col("n")).alias("complete"),
-        (F.col("longest") <= size).alias("bounded"))
+    """Number, longest, ends, and the text that the chunks give together."""
+    chunks = Doc.chunk_text(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", 400)
+    per = chunks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_no", "chunk"))).alias("c"))
+    sizes = F.transform("c", lambda x: F.length(x["chunk"]))
+    ends = F.transform(sizes, lambda n, i: F.aggregate(F.slice(sizes, F.lit(1), i + 1), F.lit(0), lambda a, b: a + b))
+    return per.select("doc_id", F.size("c").cast("bigint").alias("n_chunks"), F.array_max(sizes).cast("bigint").alias("longest"),
+                      F.array_join(ends.cast("array<string>"), ",").alias("ends"),
+                      F.sha2(F.array_join(F.transform("c", lambda x: x["chunk"]), ""), 256).alias("joined"))
 
 
 @query("award_lines", r"""

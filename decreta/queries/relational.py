@@ -398,7 +398,7 @@ def json_rows(spark, d):
 
 
 @query("log_entries", with_sql(L, then="""
-SELECT order_id, level, stage, substr(message, 1, 2000) AS message FROM (
+SELECT order_id, level, stage, message FROM (
   SELECT order_id, level, stage, repeat(message || ' ', 150) AS message FROM log)"""))
 def log_entries(spark, d):
     entries = m.log(spark, d).withColumn("message", F.repeat(F.concat("message", F.lit(" ")), 150))

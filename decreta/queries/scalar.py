@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from decreta import constants as K
 from decreta.functions import dates as D
 from decreta.functions import names as N
 from decreta.functions import pages as P
@@ -67,7 +68,7 @@ SELECT doc_id, CASE WHEN lang <> 'en' AND n_chars % 2 = 0 THEN 'not a PDF' WHEN
 def admit_query(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "n_chars", F.encode(F.concat(
         F.when((F.col("lang") != "en") & (F.col("n_chars") % 2 == 0), "<htm").otherwise("%PDF"), "text"), "UTF-8").alias("content"))
-    return admit_documents(docs, max_bytes=6000, pages=F.col("n_chars") % 250).select("doc_id", "reject_reason")
+    return admit_documents(docs, max_bytes=6000, pages=F.col("n_chars") % 250, max_pages=K.MAX_DOCUMENT_PAGES).select("doc_id", "reject_reason")
 
 
 # --- text ----------------------------------------------------------------------------

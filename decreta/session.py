@@ -35,6 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not named:
         named = tempfile.mkdtemp(prefix="spark-decreta-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", named)

@@ -30,12 +30,12 @@ def with_file_hash(df: DataFrame, column: str = "content") -> DataFrame:
 
 
 def admit_documents(df: DataFrame, column: str = "content", max_bytes: int = K.MAX_DOCUMENT_BYTES,
-                    pages: Column | None = None, max_pages: int = K.MAX_DOCUMENT_PAGES) -> DataFrame:
+                    pages: Column | None = None, max_pages: int | None = None) -> DataFrame:
     """Reject reason per document: not a PDF, too large, too many pages; null admits."""
     c = F.col(column)
     magic = F.substring(c, 1, 4) == F.lit(b"%PDF")
     reason = F.when(~F.coalesce(magic, F.lit(False)), "not a PDF").when(F.octet_length(c) > max_bytes, "too large")
-    if pages is not None:
+    if pages is not None and max_pages is not None:
         reason = reason.when(F.coalesce(pages > max_pages, F.lit(False)), "too many pages")
     return df.withColumn("reject_reason", reason)
 

@@ -113,7 +113,7 @@ def drain_orders(spark: SparkSession, landed_texts: str, store: Store, checkpoin
         waiting = orders.join(once_each.select(F.col("order_id").alias("id")), "id", "left_semi")
         done = process_orders(
             waiting, once_each, store.read("registry_sources").withColumn("id", F.col("code")),
-            allowed_hosts, registry, aliases, as_of(),
+            allowed_hosts, registry, aliases, as_of(), stored_orders=orders,
         )
         new_orders, new_rows = apply_processed(orders, rows, done, as_of())
         touched = done.rows.select("order_id").distinct()

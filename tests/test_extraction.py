@@ -140,32 +140,28 @@ def test_post_process_order_of_steps(spark):
                    (6, "Иванов Иван", 0.6, True), (7, "Юный Пётр", 0.9, True)]
 
 
-def test_chunks_are_cut_like_a_sequential_reader(spark):
-    def cut(t, size):
-        if len(t) <= size:
-            return [t]
-        out, start = [], 0
-        while start < len(t):
-            end = start + size
-            if end >= len(t):
-                out.append(t[start:])
-                break
-            at = t.rfind("\n\n", start, end)
-            if at <= start:
-                at = t.rfind("\n", start, end)
-            if at <= start:
-                at = end
-            out.append(t[start:at])
-            start = at + 1
-        return out
-
-    rng = random.Random(3)
-    texts = ["".join(rng.choice("ab\n\n ") for _ in range(rng.randint(0, 200))) for _ in range(40)] + ["x" * 45]
+def test_chunks_keep_every_character_and_break_at_lines(spark):
+    rng, size = random.Random(3), 20
+    texts = ["".join(rng.choice("ab\n\n ") for _ in range(rng.randint(0, 200))) for _ in range(40)] + ["x" * 45, "", "abcdefghij", None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     got = {}
-    for r in Doc.chunk_text(df, "doc_id", "text", 20).orderBy("doc_id", "chunk_no").collect():
+    for r in Doc.chunk_text(df, "doc_id", "text", size).orderBy("doc_id", "chunk_no").collect():
         got.setdefault(r.doc_id, []).append(r.chunk)
-    assert got == {i: cut(t, 20) for i, t in enumerate(texts)}
+    assert set(got) == {i for i, t in enumerate(texts) if t is not None}
+    for i, chunks in got.items():
+        assert "".join(chunks) == texts[i] and all(0 < len(c) <= size for c in chunks) or chunks == [""]
+        at = 0
+        for c in chunks[:-1]:
+            fits = texts[i][at:at + size]
+            if "\n\n" in fits:
+                assert c.endswith("\n\n") and "\n\n" not in fits[len(c) - 1:]
+            elif "\n" in fits:
+                assert c.endswith("\n") and "\n" not in fits[len(c):]
+            else:
+                assert len(c) == size
+            at += len(c)
+    four = Doc.chunk_text(df.filter("text = 'abcdefghij'"), "doc_id", "text", 4)
+    assert [r.chunk for r in four.orderBy("chunk_no").collect()] == ["abcd", "efgh", "ij"]
 
 
 def test_model_responses(spark):

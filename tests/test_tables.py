@@ -181,16 +181,16 @@ def test_registry_import_is_idempotent_and_keeps_history(spark):
     assert [r.valid_name for r in R.name_as_of(rows, two.names, "sport_id", "d").orderBy("d").collect()] == ["Тайский бокс", "Муайтай"]
 
 
-def test_export_splits_large_orders_into_parts(spark):
+def test_export_has_one_document_per_order(spark):
     orders = spark.createDataFrame([("o", "s", "7", "approved"), ("e", "s", "8", "approved")], "id string, source_id string, order_number string, status string").withColumns(
         {"order_date": F.lit("2026-01-02").cast("date"), "signed_by": F.lit("С")})
     rows = spark.range(25).select(F.lit("o").alias("order_id"), F.col("id").cast("string").alias("id"), (F.col("id") + 1).alias("row_no"),
                                   F.format_string("Ф%d И О", "id").alias("fio"), F.lit("1990-01-01").cast("date").alias("birth_date"), F.lit("Бокс").alias("sport"),
                                   F.lit("КМС").alias("rank_category"), F.when(F.col("id") == 24, "assignment").otherwise("refusal").alias("action"), F.current_timestamp().alias("created_at"))
     src = spark.createDataFrame([("s", "c", 77)], "id string, code string, inn bigint")
-    got = exchange(orders, rows, src, items_per_part=10).orderBy("id", "part").collect()
-    assert [(r.id, r.part, len(r["items"]), r.assignment) for r in got] == [
-        ("e", 0, 0, False), ("o", 0, 10, True), ("o", 1, 10, True), ("o", 2, 5, True)]
+    got = exchange(orders, rows, src).orderBy("id").collect()
+    assert [(r.id, len(r["items"]), r.assignment) for r in got] == [("e", 0, False), ("o", 25, True)]
+    assert plan(exchange(orders, rows, src)).count("collect_list") <= 2
     assert got[1]["items"][0].lastName == "Ф0" and got[1].issueDate == "2026-01-02"
     detail = order_detail("o", orders, src.withColumn("name", F.lit("n")), rows, spark.createDataFrame([], TABLES["processing_log"]))
     assert detail["assignments"].count() == 25 and detail["order"].first().source_code == "c"
