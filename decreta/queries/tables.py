@@ -52,7 +52,7 @@ def insert_absent(spark, d):
 
 @query("partial_update", with_sql(O, then=f"""
 SELECT id, CASE WHEN id % 3 = 0 THEN 'extracted' ELSE status END AS status, CASE WHEN id % 6 = 0 THEN 7 ELSE page_count END AS page_count, ocr_method,
-  CASE WHEN id % 3 = 0 THEN TIMESTAMP '{AS_OF}' ELSE extracted_at END AS extracted_at, CASE WHEN id % 3 = 0 THEN repeat('e', 1000) ELSE error_message END AS error_message FROM ord"""))
+  CASE WHEN id % 3 = 0 THEN TIMESTAMP '{AS_OF}' ELSE extracted_at END AS extracted_at, CASE WHEN id % 3 = 0 THEN repeat('e', 1500) ELSE error_message END AS error_message FROM ord"""))
 def partial_update(spark, d):
     orders = m.orders(spark, d).select("id", "status", "page_count", "ocr_method", "extracted_at", "error_message")
     updates = orders.filter("id % 3 = 0").select(
