@@ -133,35 +133,28 @@ def route_pages(pages: DataFrame, layer: str = "layer_text", scan: str = "scan_t
 def assemble_documents(pages: DataFrame, doc: str, page: str = "page_no") -> DataFrame:
     """Document text in page order, dominant method, mean confidence, pages per method.
 
-    The method counts are one partial aggregate over a four-value column; of equally
-    frequent methods the one seen first wins.
+    The pages of a document meet once; everything else is read off their array. Of
+    equally frequent methods the one seen first wins.
     """
     used = pages.filter(F.col("method").isNotNull())
-    filled = F.when(strip(F.col("text")) != "", F.struct(page, "text"))
-    per_method = F.expr(
-        "named_struct('n', count(1), 'first', -min({p}), 'method', method)".format(p=page)
+    # Decimal sums are exact, so the mean does not depend on the order of arrival.
+    conf = F.col("confidence").cast("decimal(20,10)")
+    whole = used.groupBy(doc).agg(
+        F.array_sort(F.collect_list(F.struct(page, "text", "method"))).alias("_p"),
+        F.sum(conf).alias("_conf"), F.count(F.lit(1)).alias("page_count"),
     )
-    methods = used.groupBy(doc, "method").agg(
-        per_method.alias("_m"),
-        # Decimal sums are exact, so the mean does not depend on the order of arrival.
-        F.sum(F.col("confidence").cast("decimal(20,10)")).alias("_conf"),
-        F.count(F.lit(1)).alias("_pages"),
-        F.collect_list(filled).alias("_texts"),
-    )
-    merged = methods.groupBy(doc).agg(
-        F.max("_m").alias("_top"),
-        F.array_sort(F.flatten(F.collect_list("_texts"))).alias("_ordered"),
-        (F.sum("_conf").cast("double") / F.sum("_pages")).alias("_mean"),
-        F.sum("_pages").alias("page_count"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("method", "_pages")))).alias("methods_used"),
-    )
-    return merged.select(
+    methods = F.array_distinct(F.transform("_p", lambda x: x["method"]))
+    counted = F.transform(methods, lambda m, i: F.struct(
+        F.size(F.filter("_p", lambda x: x["method"] == m)).cast("bigint").alias("n"), (-i).alias("first"), m.alias("method")))
+    read = whole.withColumn("_m", counted)
+    texts = F.filter(F.transform("_p", lambda x: x["text"]), lambda t: strip(t) != "")
+    return read.select(
         doc,
-        F.array_join(F.transform("_ordered", lambda x: x["text"]), "\n\n").alias("text"),
-        F.col("_top.method").alias("method"),
-        F.round("_mean", 3).alias("confidence"),
+        F.array_join(texts, "\n\n").alias("text"),
+        F.array_max("_m")["method"].alias("method"),
+        F.round(F.col("_conf").cast("double") / F.col("page_count"), 3).alias("confidence"),
         F.col("page_count").cast("int").alias("page_count"),
-        "methods_used",
+        F.map_from_entries(F.array_sort(F.transform("_m", lambda m: F.struct(m["method"], m["n"])))).alias("methods_used"),
     )
 
 

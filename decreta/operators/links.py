@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decreta import constants as K
@@ -92,13 +92,13 @@ def group_attachments(links: DataFrame) -> DataFrame:
     """First link of a page is the main document, the others its numbered attachments.
 
     Reads ``page_url, pos, url`` as made by :func:`extract_links`, where positions are
-    already dense per page; the main link is joined back by page.
+    already dense per page. A window holds no more than the links of one page.
     """
-    main = links.filter(F.col("pos") == 0).select("page_url", F.col("url").alias("parent_url"))
-    return links.join(main, "page_url").select(
-        "page_url", "url",
-        F.when(F.col("pos") > 0, F.col("parent_url")).alias("parent_url"),
-        F.when(F.col("pos") > 0, F.col("pos")).cast("int").alias("attachment_num"),
+    of_page = Window.partitionBy("page_url").orderBy("pos")
+    further = F.col("pos") > 0
+    return links.withColumn("_main", F.first("url").over(of_page)).select(
+        "page_url", "url", F.when(further, F.col("_main")).alias("parent_url"),
+        F.when(further, F.col("pos")).cast("int").alias("attachment_num"),
     )
 
 

@@ -403,3 +403,15 @@ SELECT order_id, level, stage, message FROM (
 def log_entries(spark, d):
     entries = m.log(spark, d).withColumn("message", F.repeat(F.concat("message", F.lit(" ")), 150))
     return P.log_entries(entries).select("order_id", "level", "stage", "message")
+
+
+@query("order_detail", with_sql(S, O, A, L, then="""
+SELECT a.order_id, s.code AS source_code, a.id, a.row_no, (SELECT COUNT(*) FROM log WHERE log.order_id = a.order_id) AS n_logs
+FROM asg a JOIN ord o ON a.order_id = o.id JOIN src s ON o.source_id = s.id WHERE a.order_id = (SELECT min(o_orderkey) FROM orders)"""))
+def order_detail_query(spark, d):
+    """Everything about the oldest key: its head, its rows, its log entries."""
+    first = m.table(spark, d, "orders").agg(F.min("o_orderkey")).first()[0]
+    found = S_.order_detail(first, m.orders(spark, d), m.sources(spark, d), m.assignments(spark, d), m.log(spark, d))
+    logs = found["logs"].groupBy("order_id").agg(F.count(F.lit(1)).alias("n_logs"))
+    head = found["order"].select(F.col("id").alias("order_id"), "source_code").join(logs, "order_id", "left").na.fill(0, ["n_logs"])
+    return found["assignments"].select("order_id", "id", "row_no").join(head, "order_id")

@@ -237,6 +237,26 @@ def exact_cascade(spark, d):
     return Mt.exact_cascade(names.distinct(), Mt.prepare_registry(reg, ali)).select("name", "canonical_name", "method", "confidence")
 
 
+@query("key_lookup", f"""WITH {_REG_SQL}
+SELECT name, sport_id FROM (SELECT name, sport_id, ROW_NUMBER() OVER (ORDER BY ord) AS k FROM (
+  SELECT p_name AS name, CAST(min(p_partkey) AS VARCHAR) AS sport_id, min(p_partkey) AS ord FROM part GROUP BY p_name)) WHERE k = 1""")
+def key_lookup(spark, d):
+    """The entry whose comparison key is that of the first name in capitals."""
+    reg, _ = _registry(spark, d)
+    name = reg.orderBy("ord").select(F.upper("name").alias("n")).first()["n"]
+    return Mt.find_by_key(reg, f" {name}! ").select("name", "sport_id")
+
+
+@query("user_aliases", f"""WITH {_REG_SQL}, u AS (SELECT alias, 'own ' || canonical AS canonical FROM ali UNION ALL SELECT 'new ' || name, name FROM reg)
+SELECT alias, canonical FROM u""")
+def user_aliases(spark, d):
+    """A user's aliases replace equal ones and join the others."""
+    reg, ali = _registry(spark, d)
+    new = reg.select(F.concat(F.lit("new "), "name").alias("alias"), F.col("name").alias("canonical"), F.col("ord").cast("int").alias("ord"))
+    own = ali.select("alias", F.concat(F.lit("own "), "canonical").alias("canonical"), F.col("ord").cast("int").alias("ord"))
+    return Mt.add_aliases(ali.withColumn("ord", F.col("ord").cast("int")), own.unionByName(new)).select("alias", "canonical")
+
+
 @query("fuzzy_match", f"""WITH {_REG_SQL}, {_TYPOS_SQL}, q AS (SELECT name FROM typo), {_SCORED_SQL}
 SELECT b.name, CASE WHEN ROUND(b.score, 3) >= 0.7 THEN b.canonical END AS canonical_name, ROUND(b.score, 3)::DOUBLE AS confidence,
   CASE WHEN ROUND(b.score, 3) >= 0.7 THEN 'fuzzy' ELSE 'not_found' END AS method,
