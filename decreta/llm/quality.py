@@ -18,8 +18,9 @@ from decreta.llm.batches import column, map_batches, pieces, raw, split_words, w
 
 BUCKETS_LOG2 = 17
 BYTE_NGRAMS = (3, 5)
-# Labelled rows of each class that the classifier is fitted on, at most.
-SAMPLE_PER_CLASS = 1_500
+# Labelled rows of each class that the classifier is fitted on, at most. Spark cuts such a
+# ranking before the shuffle up to spark.sql.optimizer.windowGroupLimitThreshold (1,000).
+SAMPLE_PER_CLASS = 1_000
 # A document is rejected below this probability of being good.
 MIN_PROBABILITY = 0.2
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
