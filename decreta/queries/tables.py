@@ -455,9 +455,23 @@ def stream_hash_changes(spark, d):
     snaps = snaps.select("url", (base + F.make_dt_interval(F.col("snap") * 7)).alias("seen_at"),
                          F.when((F.col("snap") % 2 == 1) & (F.col("page_id") % 3 == 0), F.concat("html", F.lit("new"))).otherwise(F.col("html")).alias("html"))
     J.track_page_changes(snaps, out + "/data", out + "/state", out + "/ckpt", once=True).awaitTermination()
-    ddl = "url string, seen_at timestamp, page_hash string, change string, batch int"
-    return spark.read.schema(ddl).parquet(out + "/data").select(
-        "url", (F.datediff("seen_at", base) / 7).cast("int").alias("snap"), "change")
+    return J.page_changes(spark, out + "/data").select("url", (F.datediff("seen_at", base) / 7).cast("int").alias("snap"), "change")
+
+
+@query("stream_late_snapshots", """
+SELECT url, CAST(k AS INTEGER) AS snap, CASE WHEN k = 0 THEN 'first' WHEN page_id % 3 = 0 THEN 'changed' ELSE 'unchanged' END AS change FROM pages, range(4) t(k)""")
+def stream_late_snapshots(spark, d):
+    """The later snapshots arrive first; in the end the statuses are those of the batch form."""
+    out = _folder(spark, "late")
+    base = F.lit("2024-01-20").cast("timestamp")
+    pages = table(spark, d, "pages").select("page_id", "url", "html", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("snap"))
+    snaps = pages.select("url", (base + F.make_dt_interval(F.col("snap") * 7)).alias("seen_at"), "snap",
+                         F.when((F.col("snap") % 2 == 1) & (F.col("page_id") % 3 == 0), F.concat("html", F.lit("new"))).otherwise(F.col("html")).alias("html"))
+    for wave in (F.col("snap").isin(1, 3), F.col("snap").isin(0, 2)):
+        snaps.filter(wave).drop("snap").write.mode("append").parquet(out + "/landed")
+        stream = spark.readStream.schema("url string, seen_at timestamp, html string").parquet(out + "/landed")
+        J.track_page_changes(stream, out + "/data", out + "/state", out + "/ckpt", once=True).awaitTermination()
+    return J.page_changes(spark, out + "/data").select("url", (F.datediff("seen_at", base) / 7).cast("int").alias("snap"), "change")
 
 
 @query("stream_new_documents", "WITH " + _LINKS_SQL + " SELECT DISTINCT 's' || page_id % 5 AS source_id, url AS source_url, 'new' AS status FROM lk")
@@ -472,6 +486,31 @@ def stream_new_documents(spark, d):
     return store.read("orders").select("source_id", "source_url", "status")
 
 
+@query("stream_repeated_files", "SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'extracted' ELSE 'new' END AS status, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1")
+def stream_repeated_files(spark, d):
+    """Odd orders repeat the file of an even one that an earlier round has stored: they
+    are recognised and stay as they are."""
+    out = _folder(spark, "repeated")
+    pending = table(spark, d, "orders").filter("o_orderstatus = 'P'").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id", "'moskva_tstisk' AS source_id", "CAST(o_orderdate AS DATE) AS order_date", "'new' AS status",
+        "'https://host.example.org/a.pdf' AS file_url", "CAST(o_orderdate AS TIMESTAMP) AS created_at")
+    text = "О присвоении квалификационных категорий спортивных судей\n1 Иванов Иван Иванович 01.02.1980 Бокс 10.02.2001\n2 Петров Пётр Петрович 01.03.1980 Бокс 10.02.2001\n3 Сидоров Иван Иванович 01.04.1980 Бокс 10.02.2001\nСпортивный судья первой\nкатегории\nСпортивный судья первой\nкатегории\nСпортивный судья первой\nкатегории\n"
+    even = F.col("id").cast("long") % 2 == 0
+    first = pending.filter(even).select("id").agg(F.min(F.col("id").cast("long"))).first()[0]
+    store = Store(spark, out + "/store")
+    store.overwrite("orders", pending)
+    store.overwrite("registry_sources", spark.createDataFrame([("moskva_tstisk",)], "code string"))
+    hosts = spark.createDataFrame([("host.example.org",)], "host string")
+    at = lambda: F.lit("2024-01-01").cast("timestamp")
+    for wave in (even, ~even):
+        pending.filter(wave).select(
+            F.col("id").alias("order_id"), F.lit(text).alias("text"), (F.col("id") if wave is even else F.lit(str(first))).alias("file_hash"),
+            F.lit(1).alias("page_count"), F.lit("pypdf").alias("ocr_method"), F.lit(1.0).alias("ocr_confidence"),
+        ).write.mode("append").parquet(out + "/landed")
+        J.drain_orders(spark, out + "/landed", store, out + "/ckpt", hosts, None, None, at, once=True).awaitTermination()
+    return store.read("orders").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("stream_drained_orders", "WITH " + EXPECTED_SQL + "SELECT CAST(doc_id AS VARCHAR) AS order_id, COUNT(*) AS records FROM expected WHERE doc_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') GROUP BY 1")
 def stream_drained_orders(spark, d):
     """Pending orders drained from landed texts into the store, some files per round."""

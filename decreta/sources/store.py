@@ -65,10 +65,5 @@ class Store:
 
 
 def append_log(store: Store, entries: DataFrame) -> None:
-    """Append processing-log entries (see ``plans.orders.log_entries`` for the cuts)."""
+    """Append processing-log entries."""
     store.append("processing_log", entries)
-
-
-def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
-    """Append to a database table where one is wanted."""
-    df.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()

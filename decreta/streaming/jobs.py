@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from decreta.functions.pages import page_fingerprint
-from decreta.operators.ordering import change_status, keep_first, latest_per_key
+from decreta.operators.ordering import change_status, keep_first
 from decreta.operators.relational import not_stored
 from decreta.plans.changes import detect_changes
 from decreta.plans.orders import apply_processed, process_orders
@@ -58,33 +58,41 @@ def distinct_documents(files: DataFrame, watermark: str | None = None, at: str =
 
 
 def track_page_changes(stream: DataFrame, target: str, state: str, checkpoint: str, key: str = "url",
-                       at: str = "seen_at", once: bool = False, interval: str = "300 seconds") -> StreamingQuery:
-    """Append the change status of every snapshot; the last hash per page is a table.
-
-    ``stream`` has ``key, at, html``. Each batch is compared within itself and with the
-    newest stored state before it; state is one Parquet folder per batch, written before
-    the statuses, so a replayed batch overwrites its own output only.
+                       at: str = "seen_at", once: bool = False, interval: str = "300 seconds",
+                       buckets: int = 64) -> StreamingQuery:
+    """Write the change status of every snapshot, also of those that arrive late.
+
+    ``stream`` has ``key, at, html``. The fingerprints of each batch are kept in a folder
+    of its own, split by a hash of the key. The history of the keys in a batch is compared
+    anew and written with it, so that a late snapshot also corrects the one after it;
+    :func:`page_changes` reads the last word on each snapshot. Replayed batches overwrite
+    their own output only.
     """
+    ddl = f"{key} string, {at} timestamp, page_hash string, batch int, bucket int"
 
     def body(pages: DataFrame, batch: int) -> None:
         spark = pages.sparkSession
         now = pages.select(key, at, page_fingerprint(F.col("html")).alias("page_hash")).withColumn(
-            "_old", F.lit(False))
-        ddl = f"{key} string, {at} timestamp, page_hash string"
-        earlier = [f"{state}/batch={b}" for b in ([batch - 1] if batch > 0 else [])]
-        if earlier:
-            known = spark.read.schema(ddl).parquet(*earlier).withColumn("_old", F.lit(True))
-        else:
-            known = spark.createDataFrame([], ddl).withColumn("_old", F.lit(True))
-        both = known.unionByName(now)
-        latest_per_key(both, [key], at).select(key, at, "page_hash").write.mode("overwrite").parquet(
-            f"{state}/batch={batch}")
-        change_status(both, key, at, "page_hash").filter(~F.col("_old")).select(
+            "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        now.write.partitionBy("bucket").mode("overwrite").parquet(f"{state}/batch={batch}")
+        kept = spark.read.schema(ddl).parquet(state).filter(F.col("batch") <= batch)
+        mine = kept.filter(F.col("batch") == batch)
+        touched = [r[0] for r in mine.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        history = kept.filter(F.col("bucket").isin(touched)).join(mine.select(key).distinct(), key, "left_semi")
+        once_each = keep_first(history, [key, at], [F.col("batch"), F.col("page_hash")])
+        change_status(once_each, key, at, "page_hash").select(
             key, at, "page_hash", "change").write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
     return _start(stream, body, checkpoint, once, interval)
 
 
+def page_changes(spark: SparkSession, target: str, key: str = "url", at: str = "seen_at") -> DataFrame:
+    """Status of every snapshot that :func:`track_page_changes` has seen, corrected by the
+    snapshots that came later."""
+    written = spark.read.schema(f"{key} string, {at} timestamp, page_hash string, change string, batch int").parquet(target)
+    return keep_first(written, [key, at], [F.col("batch").desc()]).drop("batch")
+
+
 def daily_counts(events: DataFrame, at: str = "created_at", watermark: str = "1 day") -> DataFrame:
     """Entries per calendar day and level, with the mean of ``value``."""
     return events.withWatermark(at, watermark).groupBy(F.window(at, "1 day").alias("w"), "level").agg(
@@ -122,7 +130,8 @@ def drain_orders(spark: SparkSession, landed_texts: str, store: Store, checkpoin
             store.append("assignments", done.rows)
         else:
             store.overwrite("assignments", new_rows)
+        # The log first: a stop before the orders repeats the round and its entries by id.
+        store.append("processing_log", not_stored(done.log, store.read("processing_log"), ["id"]))
         store.overwrite("orders", new_orders)
-        store.append("processing_log", done.log)
 
     return _start(stream, body, checkpoint, once, interval)
