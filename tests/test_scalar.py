@@ -69,7 +69,9 @@ def test_document_type_and_action(evaluate):
     heads = ["О присвоении почётного спортивного звания заслуженный мастер спорта России",
              "О присвоении квалификационных категорий спортивных судей", "О присвоении спортивных разрядов по виду спорта",
              " " * 3000 + "тренер"]
-    assert evaluate(X.detect_assignment_type, heads) == ["honorary_title", "judge_category", "sport_rank", "sport_rank"]
+    opening = lambda c: X.detect_assignment_type(c, 3000)
+    assert evaluate(opening, heads) == ["honorary_title", "judge_category", "sport_rank", "sport_rank"]
+    assert evaluate(X.detect_assignment_type, heads) == ["honorary_title", "judge_category", "sport_rank", "coach_category"]
     acts = ["ПРИКАЗЫВАЮ: 1. Присвоить категории", "Подтвердить категорию", "Восстановить звание", "Отказать; присвоить", "нет"]
     assert evaluate(X.detect_action, acts) == ["assignment", "confirmation", "restoration", "assignment", "assignment"]
 
