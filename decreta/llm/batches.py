@@ -60,12 +60,6 @@ def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
          for f in schema], schema=schema)
 
 
-def distinct(values: list) -> tuple[np.ndarray, list]:
-    """Code of each value and the value of each code, by first appearance."""
-    codes = {v: i for i, v in enumerate(dict.fromkeys(values))}
-    return np.fromiter(map(codes.__getitem__, values), np.int64, len(values)), list(codes)
-
-
 def split_words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Codes of all words of the texts in order, the word of each code, words per text."""
     words = [t.split() for t in texts]

@@ -13,15 +13,16 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decreta.llm.batches import column, distinct, map_batches, raw
+from decreta.llm.batches import column, map_batches, raw
 
 SPACE = "▁"
-KEPT_WORDS, KEPT_PAIRS = 400_000, 1 << 20
+KEPT_WORDS, KEPT_PAIRS = 800_000, 1 << 20
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _LOADED: dict[tuple[str, bool], "Pieces"] = {}
 
@@ -54,7 +55,7 @@ class Pieces:
             self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
         self.characters = frozenset(p for p in self.ids if len(p) == 1)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
         self.pairs: dict[int, bool] = {}
 
     def apart(self, a: int, b: int) -> bool:
@@ -135,26 +136,39 @@ class Pieces:
         mark = next(chr(c) for c in range(0xE000, 0x10FFFF) if chr(c) not in text)
         return self.normalize(text.replace("\0", mark)).replace(mark, "\0")
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode words not seen before and keep their ids side by side."""
+        found = [self.word(w) for w in words]
+        lengths = np.array([len(x) for x in found], np.int64)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.tokens) + np.cumsum(lengths) - lengths])
+        self.counts = np.concatenate([self.counts, lengths])
+        self.tokens = np.concatenate([self.tokens, np.array([i for x in found for i in x], np.uint32)])
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.starts, self.counts, self.tokens = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""
-        words = [_WORD.findall(self.normal(t)) for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        codes, names = distinct([w for ws in words for w in ws])
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        for w in names:
-            if w not in self.known:
-                self.known[w] = np.array(self.word(w), np.uint32)
-        found = [self.known[w] for w in names]
-        lengths = np.array([len(x) for x in found], np.int64)
-        tokens = np.concatenate(found) if found else np.zeros(0, np.uint32)
-        per_word = lengths[codes]
+            self._forget()
+        flat, sizes = [], []
+        for t in texts:
+            words = _WORD.findall(self.normal(t))
+            flat += words
+            sizes.append(len(words))
+        codes = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            words = [flat[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(words)))
+            codes[missing] = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        per_word = self.counts[codes]
         ends = np.cumsum(per_word)
-        start = (np.cumsum(lengths) - lengths)[codes]
-        ids = tokens[np.repeat(start - (ends - per_word), per_word) + np.arange(int(per_word.sum()))]
-        total = np.concatenate([[0], ends])
-        last = np.cumsum(sizes)
-        return ids, total[last] - total[last - sizes]
+        ids = self.tokens[np.repeat(self.starts[codes] - (ends - per_word), per_word) + np.arange(int(per_word.sum()))]
+        total, last = np.concatenate([[0], ends]), np.cumsum(sizes, dtype=np.int64) if sizes else np.zeros(0, np.int64)
+        return ids, total[last] - total[last - np.array(sizes, np.int64)]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids, without the space that encoding puts first."""
