@@ -13,7 +13,7 @@ from decreta.functions.text import match_key, strip
 from decreta.operators.ordering import keep_first, top_per_key
 from decreta.session import broadcast_checked, staged
 
-# Above this many names the registry is joined by trigram instead of being inlined.
+# Registry names that are scored inside one row; more of them are scored block by block.
 INLINE_REGISTRY = 5_000
 # What the bonuses can add to the trigram similarity of two names.
 _MAX_BONUS = 0.25
@@ -141,18 +141,45 @@ def _inline_top(names: DataFrame, choices: DataFrame, k: int, needed: Column | N
     return ranked.drop("_tri", "_n", "_all")
 
 
-def rank_candidates(names: DataFrame, choices: DataFrame, k: int = _TOP) -> DataFrame:
+def rank_candidates(names: DataFrame, choices: DataFrame, k: int = _TOP, block: int = INLINE_REGISTRY) -> DataFrame:
     """The ``k`` most similar choices of each name as rows, ties in registry order."""
-    if not _fits_inline(choices, INLINE_REGISTRY):
-        raise ValueError("ranking every choice needs a registry within INLINE_REGISTRY names")
     shown = F.transform("_top", lambda x, i: F.struct(
         x["choice"].alias("choice"), x["canonical"].alias("canonical"), (i + 1).alias("rank"),
         (-x["neg"]).alias("score")))
-    return _inline_top(names, choices, k).select("name", F.explode(shown).alias("c")).select("name", "c.*")
+    ranked = _inline_top(names, choices, k) if _fits_inline(choices, block) else _blocked_top(names, choices, k, block)
+    return ranked.select("name", F.explode(shown).alias("c")).select("name", "c.*")
+
+
+def _blocked_top(names: DataFrame, choices: DataFrame, k: int, block: int) -> DataFrame:
+    """Best ``k`` choices per name for a registry of any size: the result of
+    ``_inline_top``, with the registry in blocks of about ``block`` names.
+
+    A name meets each block once and leaves it with ``k`` choices. The blocks are copied
+    to every share of the names, so that no task gets all names of a block.
+    """
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-choices.count() // block))
+    table = choices.select("ord", "choice", "canonical", "sport_id", trigrams(F.col("choice")).alias("tri"))
+    packed = table.withColumn("_block", F.pmod(F.xxhash64("choice"), F.lit(blocks)).cast("int")).groupBy("_block").agg(
+        F.collect_list(F.struct(*table.columns)).alias("_all"))
+    copies = packed.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    asked = names.select("name").distinct().withColumns({
+        "_share": F.pmod(F.xxhash64("name"), F.lit(spread)).cast("int"), "_tri": trigrams(F.col("name")),
+        "_block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
+
+    def scored(c: Column) -> Column:
+        score = trigram_score(F.col("name"), c["choice"], F.col("_tri"), c["tri"])
+        return F.struct((-score).alias("neg"), c["ord"].alias("ord"), c["choice"].alias("choice"),
+                        c["canonical"].alias("canonical"), c["sport_id"].alias("sport_id"))
+
+    best = asked.join(copies, ["_block", "_share"]).select(
+        "name", F.slice(F.array_sort(F.transform("_all", scored)), 1, k).alias("_top"))
+    tops = best.groupBy("name").agg(F.slice(F.array_sort(F.flatten(F.collect_list("_top"))), 1, k).alias("_top"))
+    return names.join(tops, "name", "left")
 
 
 def _joined_top(names: DataFrame, choices: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Best ``k`` choices per name for a registry too large to inline.
+    """Best ``k`` choices per name among those that can reach ``threshold``.
 
     Prefix-filtered trigram join: with all trigrams put in one global order, rarest
     first, two names whose similarity reaches ``t`` must share one of their first
@@ -236,13 +263,13 @@ def _verdict(threshold: float) -> dict[str, Column]:
 
 
 def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIEW_MATCH,
-                scorer: str = "trigram", inline_limit: int = INLINE_REGISTRY) -> DataFrame:
+                scorer: str = "trigram", inline_limit: int = INLINE_REGISTRY, matches_only: bool = False) -> DataFrame:
     """Match distinct ``name`` values to the most similar choice.
 
-    A registry within ``inline_limit`` names is scored whole, so alternatives and the
-    confidence of unmatched names are complete. A larger one is joined by trigram:
-    every match at or above ``threshold`` is found, alternatives are those that could
-    reach it, and a name without any gets confidence 0.
+    Alternatives and the confidence of unmatched names are complete at every registry
+    size; ``inline_limit`` only chooses the plan. With ``matches_only`` names are joined
+    by trigram instead: every match at or above ``threshold`` is found, alternatives are
+    those that could reach it, and a name without any gets confidence 0.
     """
     small = _fits_inline(choices, inline_limit)
     names = spread_names(names)
@@ -250,10 +277,12 @@ def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIE
         if not small:
             raise ValueError("the token-sort scorer needs a registry within inline_limit")
         ranked = _token_sort_top(names, choices, _TOP)
+    elif matches_only:
+        ranked = _joined_top(names, choices, _TOP, threshold)
     elif small:
         ranked = _inline_top(names, choices, _TOP)
     else:
-        ranked = _joined_top(names, choices, _TOP, threshold)
+        ranked = _blocked_top(names, choices, _TOP, inline_limit)
     return ranked.select(*names.columns, *[c.alias(n) for n, c in _verdict(threshold).items()])
 
 
@@ -283,7 +312,7 @@ def match_names(names: DataFrame, registry: DataFrame, aliases: DataFrame,
         none = F.array().cast(_NO_ALTERNATIVES).alias("alternatives")
         rest = looked_up.filter(~hit).select("name")
         out = looked_up.filter(hit).select("*", none).unionByName(
-            fuzzy_match(rest, choices, threshold, scorer, inline_limit))
+            fuzzy_match(rest, choices, threshold, scorer, inline_limit, matches_only=not complete))
     return out.withColumnRenamed("name", "input_name")
 
 

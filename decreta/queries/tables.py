@@ -214,8 +214,8 @@ sc AS (SELECT qt.name, choice, canonical, k, ord, LEAST(1.0, CAST(len(list_inter
 rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY name ORDER BY ROUND(score, 12) DESC, k, ord) AS rn FROM sc)"""
 
 
-def _registry(spark, d):
-    reg = table(spark, d, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("ord")).withColumn("sport_id", F.col("ord").cast("string"))
+def _registry(spark, d, name=None):
+    reg = table(spark, d, "part").groupBy((F.col("p_name") if name is None else name).alias("name")).agg(F.min("p_partkey").alias("ord")).withColumn("sport_id", F.col("ord").cast("string"))
     ali = reg.select(F.concat(F.split_part("name", F.lit(" "), F.lit(2)), F.lit(" "), F.split_part("name", F.lit(" "), F.lit(1))).alias("alias"),
                      F.col("name").alias("canonical"), "ord")
     return reg, ali
@@ -271,11 +271,26 @@ def fuzzy_match(spark, d):
 @query("fuzzy_match_joined", f"""WITH {_REG_SQL}, {_TYPOS_SQL}, q AS (SELECT name FROM typo), {_SCORED_SQL}
 SELECT name, canonical AS canonical_name, ROUND(score, 3)::DOUBLE AS confidence FROM rk WHERE rn = 1 AND ROUND(score, 3) >= 0.7""")
 def fuzzy_match_joined(spark, d):
-    """The plan for registries too large to inline: every match above the threshold."""
-    found = Mt.fuzzy_match(_typos(spark, d), Mt.candidates(Mt.prepare_registry(*_registry(spark, d))), inline_limit=0)
+    """The plan for matches alone: all of them above the threshold, by trigram."""
+    found = Mt.fuzzy_match(_typos(spark, d), Mt.candidates(Mt.prepare_registry(*_registry(spark, d))), matches_only=True)
     return found.filter("method = 'fuzzy'").select("name", "canonical_name", "confidence")
 
 
+_LARGE_SQL = _REG_SQL.replace("SELECT p_name AS name,", "SELECT p_name || ' ' || p_type || ' ' || p_brand AS name,").replace(
+    "ord FROM reg)", "ord FROM reg QUALIFY ROW_NUMBER() OVER (PARTITION BY split_part(name, ' ', 2) || ' ' || split_part(name, ' ', 1) ORDER BY ord) = 1)")
+
+
+@query("fuzzy_match_blocks", f"""WITH {_LARGE_SQL}, {_TYPOS_SQL}, q AS (SELECT name FROM typo), {_SCORED_SQL}
+SELECT b.name, CASE WHEN ROUND(b.score, 3) >= 0.7 THEN b.canonical END AS canonical_name,
+  (SELECT string_agg(r.choice, ', ' ORDER BY r.rn) FROM rk r WHERE r.name = b.name AND r.rn BETWEEN 2 AND 4) AS alternatives
+FROM rk b WHERE b.rn = 1""")
+def fuzzy_match_blocks(spark, d):
+    """A registry beyond one block: name, type and brand of every part."""
+    reg, ali = _registry(spark, d, F.concat_ws(" ", "p_name", "p_type", "p_brand"))
+    found = Mt.fuzzy_match(_typos(spark, d), Mt.candidates(Mt.prepare_registry(reg, ali)), inline_limit=500)
+    return found.select("name", "canonical_name", F.array_join(F.transform("alternatives", lambda x: x["name"]), ", ").alias("alternatives"))
+
+
 @query("candidate_ranks", f"""WITH {_REG_SQL}, {_TYPOS_SQL}, q AS (SELECT name FROM typo), {_SCORED_SQL}
 SELECT name, choice, canonical, CAST(rn AS INTEGER) AS rank, ROUND(score, 6)::DOUBLE AS score FROM rk WHERE rn <= 5""")
 def candidate_ranks(spark, d):

@@ -57,7 +57,10 @@ def test_large_registry_plan_finds_every_match(spark, registry):
     names = spark.createDataFrame([(t,) for t in typos], "name string")
     choices = M.candidates(M.prepare_registry(registry, M.builtin_aliases(spark)))
     best = lambda df: {r.name: (r.canonical_name, r.confidence) for r in df.filter("method = 'fuzzy'").collect()}
-    joined = M.fuzzy_match(names, choices, inline_limit=0)
+    joined = M.fuzzy_match(names, choices, matches_only=True)
+    whole = lambda df: sorted(str(r) for r in df.collect())
+    assert whole(M.fuzzy_match(names, choices, inline_limit=3)) == whole(M.fuzzy_match(names, choices))
+    assert whole(M.rank_candidates(names, choices, block=3)) == whole(M.rank_candidates(names, choices))
     assert best(joined) == best(M.fuzzy_match(names, choices)) != {}
     text = plan(joined)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
