@@ -215,15 +215,21 @@ def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 2, bucke
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group and all its columns: the row with
-    the smallest doc_id (a null one only if the group has no other), of equal ids the one
-    with the smallest hash of its text, of equal rows any one."""
+def keep_least(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``docs`` with one row of each ``component`` of ``grouped`` (``doc_id, row, component``
+    of every row) and all its columns: the row with the smallest doc_id (a null one only if
+    the group has no other), of equal ids the one with the smallest hash of its text, of
+    equal rows any one."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    rows = _grouped(docs, words, max_bits, bucket).groupBy("component", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies"))
+    rows = grouped.groupBy("component", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies"))
     best = rows.groupBy("component").agg(F.min_by(F.struct(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("copies").alias("_copies")), order).alias("b"))
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_row"))
     left = docs.join(best.select("b.*"), same)
     # Only rows that repeat an id and a text have to be brought together.
     again = left.filter("_copies > 1").dropDuplicates(["_id", "_row"])
     return left.filter("_copies = 1").unionByName(again).select(docs.columns)
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, as ``keep_least`` picks it."""
+    return keep_least(docs, _grouped(docs, words, max_bits, bucket))
