@@ -1,10 +1,10 @@
 """Secret scans: fixed patterns, and formats inferred from the credentials they find.
 
 The base patterns label credentials by kind. From a bounded sample of each kind a
-probabilistic automaton is inferred, and one more from strings of the same alphabet that
-are no credentials. Every further candidate string is scored by its likelihood under
-the credential formats against the plain one; those well above it are added as spans of
-the kind ``format``.
+probabilistic automaton is inferred. The plain format comes from the words of all texts
+that are too short to be candidates, so it does not depend on how many secrets there are.
+Every further candidate string is scored by its likelihood under the credential formats
+against the plain one; those well above it are added as spans of the kind ``format``.
 """
 
 from __future__ import annotations
@@ -33,10 +33,17 @@ ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=
 # likelier as a credential, in all and for each character.
 MIN_CANDIDATE, SAMPLE, SAMPLE_LENGTH = 16, 300, 128
 MIN_BITS, MIN_BITS_PER_CHARACTER = 24.0, 0.75
+# Weights of a character after the one before it, of the character alone and of any
+# character, in the plain format.
+PLAIN_WEIGHTS = (0.8, 0.1, 0.1)
 
 _ASSIGN, _ACCESS, _HEX = re.compile(ASSIGN), re.compile(ACCESS), re.compile(rb"[0-9a-f]{%d,}" % MIN_HEX)
 _IN_ALPHABET = np.zeros(256, bool)
 _IN_ALPHABET[list(ALPHABET)] = True
+# Codes of the characters; EDGE stands before the first and after the last one.
+EDGE = len(ALPHABET)
+_CODES = np.full(256, EDGE, np.int64)
+_CODES[list(ALPHABET)] = np.arange(EDGE)
 _MIXED = re.compile(rb"[0-9]|.[a-z].*[A-Z]|.[A-Z].*[a-z]", re.S)
 SPAN = "struct<kind: int, start: long, end: long, value_start: long, value: string>"
 FOUND = f"doc_id long, key long, spans array<{SPAN}>"
@@ -85,25 +92,72 @@ def find_spans(texts: list[bytes]) -> list[list[dict]]:
     return out
 
 
+class PlainFormat:
+    """Strings as the words of a corpus spell them: each character by the one before it,
+    from ``counts`` by code of both. Digits alone are never dearer than a number."""
+
+    def __init__(self, counts: np.ndarray):
+        choices = EDGE + 1
+        pair, alone, any_ = PLAIN_WEIGHTS
+        before, single = counts.sum(axis=1, keepdims=True), counts.sum(axis=0)
+        uniform = np.full(choices, 1 / choices)
+        one = single / single.sum() if single.sum() else uniform
+        after = np.where(before > 0, counts / np.maximum(before, 1), one)
+        self.cost = -np.log2(pair * after + alone * one + any_ * uniform)
+
+    def bits(self, text: str) -> float:
+        codes = _CODES[np.frombuffer(text.encode(), np.uint8)]
+        total = float(self.cost[np.append(EDGE, codes), np.append(codes, EDGE)].sum())
+        return min(total, (len(text) + 1) * np.log2(11)) if text.isdigit() else total
+
+
+def count_pairs(texts: list[bytes]) -> np.ndarray:
+    """Pairs of codes in the stretches of credential characters that are too short to be
+    candidates, outside base spans."""
+    blanked = []
+    for text in texts:
+        for _, a, b, _ in base_spans(text):
+            text = text[:a] + b" " * (b - a) + text[b:]
+        blanked.append(text)
+    codes = _CODES[np.frombuffer(b"\0".join([b"", *blanked, b""]), np.uint8)]
+    inside = (codes != EDGE).view(np.int8)
+    edges = np.flatnonzero(np.diff(inside, prepend=np.int8(0), append=np.int8(0)))
+    for a, b in zip(edges[::2][(long_ := edges[1::2] - edges[::2] >= MIN_CANDIDATE)].tolist(), edges[1::2][long_].tolist()):
+        codes[a:b] = EDGE
+    pairs = np.bincount(codes[:-1] * (EDGE + 1) + codes[1:], minlength=(EDGE + 1) ** 2).reshape(EDGE + 1, EDGE + 1)
+    pairs[EDGE, EDGE] = 0
+    return pairs
+
+
+def plain_format(docs: DataFrame) -> PlainFormat:
+    """The plain format of all texts of ``docs``."""
+    def fn(batch):
+        pairs = count_pairs(raw(batch)).ravel()
+        at = np.flatnonzero(pairs)
+        return {"pair": at, "n": pairs[at]}
+
+    counts = np.zeros((EDGE + 1) ** 2)
+    for r in map_batches(docs.select("text"), fn, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        counts[r["pair"]] = r["n"]  # one row for each pair of characters
+    return PlainFormat(counts.reshape(EDGE + 1, EDGE + 1))
+
+
 def infer_formats(found: DataFrame, sample: int = SAMPLE):
-    """Automata by kind from at most ``sample`` distinct values of each, chosen by hash.
-    ``None`` without labelled credentials."""
+    """Automata by kind from at most ``sample`` distinct labelled values of each, chosen
+    by hash. ``None`` without labelled credentials."""
     values = found.select(F.explode("spans").alias("s")).select("s.kind", "s.value").filter(
-        F.length("value") <= SAMPLE_LENGTH).distinct()
+        (F.col("kind") != 3) & (F.length("value") <= SAMPLE_LENGTH)).distinct()
     order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
     rows = values.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample).orderBy("kind", "rank").collect()
     examples: dict[int, list[str]] = {}
-    for r in rows:  # at most 4 * sample short strings
+    for r in rows:  # at most 3 * sample short strings
         examples.setdefault(r["kind"], []).append(r["value"])
-    if not examples.keys() - {3}:
-        return None
-    return {kind: Automaton(texts, len(ALPHABET)) for kind, texts in examples.items()}
+    return {kind: Automaton(texts, len(ALPHABET)) for kind, texts in examples.items()} or None
 
 
-def is_credential(value: str, formats: dict[int, Automaton]) -> bool:
-    """Whether the likeliest credential format beats the plain one by MIN_BITS and by
-    MIN_BITS_PER_CHARACTER. The plain format of a corpus without further candidates is
-    uniform over the alphabet."""
+def is_credential(value: str, formats: dict) -> bool:
+    """Whether the likeliest credential format beats the plain one (3; without one: uniform
+    over the alphabet) by MIN_BITS and by MIN_BITS_PER_CHARACTER."""
     plain = formats[3].bits(value) if 3 in formats else (len(value) + 1) * np.log2(len(ALPHABET) + 1)
     gain = plain - min(a.bits(value) for kind, a in formats.items() if kind != 3)
     return gain >= MIN_BITS and gain >= MIN_BITS_PER_CHARACTER * len(value)
@@ -118,6 +172,8 @@ def secret_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
     found = staged(map_batches(rows, fn, FOUND), "spans")
     formats = infer_formats(found, sample)
+    if formats:
+        formats[3] = plain_format(docs)
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast(formats)
 
