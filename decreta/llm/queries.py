@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from decreta.llm.chat import chat_trees, read_conversations
+from decreta.llm.hard_negatives import hard_negatives
 from decreta.llm.langid import predict_languages, train_languages
+from decreta.llm.lexical import lexical_search
 from decreta.llm.packing import pack_documents
 from decreta.llm.pieces import encode_pieces
 from decreta.llm.quality import quality
@@ -18,6 +20,7 @@ from decreta.llm.secrets import scan_secrets
 from decreta.llm.simhash import simhash_components
 from decreta.llm.substring import substring_dedup
 from decreta.llm.token_files import read_tokens, write_tokens
+from decreta.llm.toxicity import toxicity
 from decreta.llm.vectors import near_vectors
 from decreta.session import shared_folder
 
@@ -133,3 +136,52 @@ def op7(spark, d):
 @query("op8_sentence_pieces")
 def op8(spark, d):
     return encode_pieces(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_toxicity")
+def op11(spark, d):
+    return toxicity(table(spark, d, "documents"), table(spark, d, "labels"), F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1)
+
+
+@query("op12_hard_negatives", """
+WITH sound AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x) OR abs(256 * CAST(x AS DOUBLE)) > 67108864]) = 0),
+asked AS (SELECT row_number() OVER () AS a, * FROM (SELECT DISTINCT vec_id, label, v FROM sound WHERE vec_id % 100 = 0)),
+pairs AS (
+  SELECT a, asked.vec_id AS anchor_id, s.vec_id, s.label = asked.label AS same, CAST(list_inner_product(asked.v, s.v) AS BIGINT) AS score
+  FROM asked JOIN sound s ON len(asked.v) = len(s.v) AND s.vec_id IS DISTINCT FROM asked.vec_id),
+positives AS (
+  SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) AS p
+  FROM pairs WHERE same QUALIFY p <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.a, p.p ORDER BY n.score DESC, n.vec_id NULLS LAST) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.a = p.a AND NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+QUALIFY rank <= 10""")
+def op12(spark, d):
+    return hard_negatives(table(spark, d, "embeddings"))
+
+
+# Terms of a text, with only A-Z lower-cased.
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query("op13_lexical_search", rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+wanted AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+counts AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+known AS (SELECT counts.* FROM counts SEMI JOIN wanted USING (term)),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM known, totals GROUP BY term, n_docs),
+lengths AS (SELECT r, doc_id, 10 + (90 * len(terms) * n_docs) // n_terms AS m FROM d, totals),
+gains AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS gain FROM known JOIN weights USING (term) JOIN lengths USING (r)),
+scores AS (SELECT item_id, r, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM wanted JOIN gains USING (term) GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10""")
+def op13(spark, d):
+    return lexical_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
