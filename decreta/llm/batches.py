@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,6 +43,21 @@ def pieces(batch: pa.RecordBatch, name: str, limit: int = BATCH_BYTES) -> Iterat
     yield batch.slice(start)
 
 
+def text_parts(batch: pa.RecordBatch, name: str = "text", limit: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """As ``pieces``, with the texts of each part as strings (null: empty), measured in
+    Arrow and taken out once."""
+    if not batch.num_rows:
+        return
+    ends = np.cumsum(pc.binary_length(column(batch, name)).fill_null(0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(ends):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
+        part = batch.slice(start, stop - start)
+        yield part, [t or "" for t in column(part, name).to_pylist()]
+        start = stop
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> DataFrame:
     """``mapInArrow`` over batches of bounded bytes; ``fn`` returns columns by name."""
     out = to_arrow_schema(StructType.fromDDL(schema))

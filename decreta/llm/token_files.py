@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from decreta.llm.batches import column, pieces, raw, record
+from decreta.llm.batches import column, record, text_parts
 from decreta.llm.encoding import encoder
 
 _HEAD = struct.Struct("<4sBBIIQQ")
@@ -35,25 +35,51 @@ SEGMENT = "shard int, segment int, n_ids long, payload binary"
 TOKENS = "shard int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def _places(bits: int):
+    """For each of 64 ids side by side: its word of 64 bits, its shift there, and whether
+    it goes on in the next word. So many ids fill just ``bits`` words."""
+    for j in range(64):
+        word, shift = divmod(j * bits, 64)
+        yield j, word, np.uint64(shift), np.uint64(64 - shift) if shift + bits > 64 else None
+
+
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
-    planes = (ids[:, None] >> np.arange(bits, dtype=np.uint32)[None, :] & np.uint32(1)).astype(np.uint8)
-    return np.packbits(planes.ravel(), bitorder="little").tobytes()
+    """Ids of up to 32 bits, ``bits`` each, from the lowest bit of the first byte on."""
+    rows = -(-len(ids) // 64)
+    padded = np.zeros(rows * 64, np.uint64)
+    padded[:len(ids)] = ids
+    columns, words = np.ascontiguousarray(padded.reshape(rows, 64).T), np.zeros((bits, rows), np.uint64)
+    for j, word, shift, rest in _places(bits):
+        words[word] |= columns[j] << shift
+        if rest is not None:
+            words[word + 1] |= columns[j] >> rest
+    return np.ascontiguousarray(words.T).astype("<u8").tobytes()[:-(-len(ids) * bits // 8)]
 
 
 def unpack_bits(data: bytes, bits: int, first: int, count: int) -> np.ndarray:
     """Ids ``first`` to ``first + count`` of packed ``data``; ids of up to 32 bits."""
-    raw_ = np.zeros(len(data) + 8, np.uint8)
-    raw_[:len(data)] = np.frombuffer(data, np.uint8)
-    bit = np.arange(first, first + count, dtype=np.int64) * bits
-    at, value = bit >> 3, np.zeros(count, np.uint64)
-    for k in range(-(-(bits + 7) // 8)):
-        value |= raw_[at + k].astype(np.uint64) << np.uint64(8 * k)
-    return (value >> (bit & 7).astype(np.uint64) & np.uint64((1 << bits) - 1)).astype(np.uint32)
+    begin = first // 64
+    rows = max(0, -(-(first + count) // 64) - begin)
+    held = np.zeros(rows * bits * 8, np.uint8)
+    mine = np.frombuffer(data, np.uint8)[begin * bits * 8:][:len(held)]
+    held[:len(mine)] = mine
+    words, columns = np.ascontiguousarray(held.view("<u8").reshape(rows, bits).T), np.empty((64, rows), np.uint64)
+    for j, word, shift, rest in _places(bits):
+        columns[j] = words[word] >> shift
+        if rest is not None:
+            columns[j] |= words[word + 1] << rest
+    ids = (columns & np.uint64((1 << bits) - 1)).astype(np.uint32)
+    return np.ascontiguousarray(ids.T).ravel()[first - begin * 64:][:count]
 
 
 def write_segment(doc_ids: list, counts: np.ndarray, ids: np.ndarray, bits: int, start: int, block: int = BLOCK_IDS) -> bytes:
-    blocks = [pack_bits(ids[i:i + block], bits) for i in range(0, len(ids), block)]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8")
+    starts = np.arange(0, len(ids), block)
+    if block * bits % 8 == 0:  # blocks end on bytes, so they lie side by side as packed at once
+        blocks, sizes = [pack_bits(ids, bits)], -(-(np.minimum(starts + block, len(ids)) - starts) * bits // 8)
+    else:
+        blocks = [pack_bits(ids[i:i + block], bits) for i in starts.tolist()]
+        sizes = [len(b) for b in blocks]
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("<u8")
     nulls = np.packbits(np.array([d is None for d in doc_ids], bool), bitorder="little")
     return b"".join([
         _HEAD.pack(MAGIC, VERSION, bits, block, len(doc_ids), len(ids), start), nulls.tobytes(),
@@ -81,6 +107,9 @@ class Segment:
     def ids(self, first: int, count: int) -> np.ndarray:
         """``count`` ids from position ``first``: only the blocks that hold them are read."""
         parts, end = [], min(first + count, self.n_ids)
+        if self.block * self.bits % 8 == 0 and first < end:  # blocks without gaps are read as one
+            k, last = first // self.block, (end - 1) // self.block
+            return unpack_bits(bytes(self.data[self.offsets[k]:self.offsets[last + 1]]), self.bits, first - k * self.block, end - first)
         while first < end:
             k = first // self.block
             n = min(end, (k + 1) * self.block) - first
@@ -103,8 +132,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, se
         shard, number, start = TaskContext.get().partitionId(), 0, 0
         doc_ids, counts, parts, held = [], [], [], 0
         for batch in batches:
-            for part in pieces(batch, "text"):
-                ids, n = encoder(tokenizer).with_end([t.decode() for t in raw(part)], end_id)
+            for part, texts in text_parts(batch):
+                ids, n = encoder(tokenizer).with_end(texts, end_id)
                 for doc_id, mine in zip(column(part, "doc_id").to_pylist(), np.split(ids, np.cumsum(n)[:-1])):
                     if held and held + len(mine) > segment_ids:
                         yield record(row(shard, number, doc_ids, counts, parts, held, start), out)
