@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decreta import constants as K
-from decreta.functions.similarity import token_sort_score, trigram_score, trigrams
+from decreta.functions.similarity import CONTAINMENT, LENGTH_WEIGHT, trigram_score, trigrams
 from decreta.functions.text import match_key, strip
+from decreta.operators.name_index import indexed_top
 from decreta.operators.ordering import keep_first, top_per_key
 from decreta.session import broadcast_checked, staged
 
-# Registry names that are scored inside one row; more of them are scored block by block.
-INLINE_REGISTRY = 5_000
+# Registry names that are scored inside one row; more of them are indexed.
+INLINE_REGISTRY = 500
 # What the bonuses can add to the trigram similarity of two names.
-_MAX_BONUS = 0.25
+_MAX_BONUS = CONTAINMENT + LENGTH_WEIGHT
 _TOP = 5
 
 _NO_ALTERNATIVES = "array<struct<name:string,score:double>>"
@@ -141,43 +142,15 @@ def _inline_top(names: DataFrame, choices: DataFrame, k: int, needed: Column | N
     return ranked.drop("_tri", "_n", "_all")
 
 
-def rank_candidates(names: DataFrame, choices: DataFrame, k: int = _TOP, block: int = INLINE_REGISTRY) -> DataFrame:
+def rank_candidates(names: DataFrame, choices: DataFrame, k: int = _TOP, inline_limit: int = INLINE_REGISTRY) -> DataFrame:
     """The ``k`` most similar choices of each name as rows, ties in registry order."""
     shown = F.transform("_top", lambda x, i: F.struct(
         x["choice"].alias("choice"), x["canonical"].alias("canonical"), (i + 1).alias("rank"),
         (-x["neg"]).alias("score")))
-    ranked = _inline_top(names, choices, k) if _fits_inline(choices, block) else _blocked_top(names, choices, k, block)
+    ranked = _inline_top(names, choices, k) if _fits_inline(choices, inline_limit) else indexed_top(names, choices, k)
     return ranked.select("name", F.explode(shown).alias("c")).select("name", "c.*")
 
 
-def _blocked_top(names: DataFrame, choices: DataFrame, k: int, block: int) -> DataFrame:
-    """Best ``k`` choices per name for a registry of any size: the result of
-    ``_inline_top``, with the registry in blocks of about ``block`` names.
-
-    A name meets each block once and leaves it with ``k`` choices. The blocks are copied
-    to every share of the names, so that no task gets all names of a block.
-    """
-    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(1, -(-choices.count() // block))
-    table = choices.select("ord", "choice", "canonical", "sport_id", trigrams(F.col("choice")).alias("tri"))
-    packed = table.withColumn("_block", F.pmod(F.xxhash64("choice"), F.lit(blocks)).cast("int")).groupBy("_block").agg(
-        F.collect_list(F.struct(*table.columns)).alias("_all"))
-    copies = packed.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    asked = names.select("name").distinct().withColumns({
-        "_share": F.pmod(F.xxhash64("name"), F.lit(spread)).cast("int"), "_tri": trigrams(F.col("name")),
-        "_block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
-
-    def scored(c: Column) -> Column:
-        score = trigram_score(F.col("name"), c["choice"], F.col("_tri"), c["tri"])
-        return F.struct((-score).alias("neg"), c["ord"].alias("ord"), c["choice"].alias("choice"),
-                        c["canonical"].alias("canonical"), c["sport_id"].alias("sport_id"))
-
-    best = asked.join(copies, ["_block", "_share"]).select(
-        "name", F.slice(F.array_sort(F.transform("_all", scored)), 1, k).alias("_top"))
-    tops = best.groupBy("name").agg(F.slice(F.array_sort(F.flatten(F.collect_list("_top"))), 1, k).alias("_top"))
-    return names.join(tops, "name", "left")
-
-
 def _joined_top(names: DataFrame, choices: DataFrame, k: int, threshold: float) -> DataFrame:
     """Best ``k`` choices per name among those that can reach ``threshold``.
 
@@ -217,19 +190,6 @@ def _joined_top(names: DataFrame, choices: DataFrame, k: int, threshold: float)
     return names.join(tops, "name", "left")
 
 
-def _token_sort_top(names: DataFrame, choices: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` choices per name by the token-sort score (registry size checked)."""
-    table = choices.agg(F.collect_list(F.struct("ord", "choice", "canonical", "sport_id")).alias("all"))
-    rows = names.withColumn("_all", table.scalar()).select("name", F.explode("_all").alias("c"))
-    scored = rows.withColumn("score", token_sort_score(F.col("name"), F.col("c.choice")))
-    best = top_per_key(scored, ["name"], [F.col("score").desc(), F.col("c.ord")], k)
-    tops = best.groupBy("name").agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("score")).alias("neg"), F.col("c.ord").alias("ord"), F.col("c.choice").alias("choice"),
-        F.col("c.canonical").alias("canonical"), F.col("c.sport_id").alias("sport_id"),
-    ))).alias("_top"))
-    return names.join(tops, "name", "left")
-
-
 def spread_names(names: DataFrame) -> DataFrame:
     """Distinct names over all shuffle partitions.
 
@@ -267,22 +227,19 @@ def fuzzy_match(names: DataFrame, choices: DataFrame, threshold: float = K.REVIE
     """Match distinct ``name`` values to the most similar choice.
 
     Alternatives and the confidence of unmatched names are complete at every registry
-    size; ``inline_limit`` only chooses the plan. With ``matches_only`` names are joined
-    by trigram instead: every match at or above ``threshold`` is found, alternatives are
-    those that could reach it, and a name without any gets confidence 0.
+    size and with either scorer; ``inline_limit`` only chooses the plan: a small registry
+    is scored inside the row, a larger one through an index that scores few pairs. With
+    ``matches_only`` names are joined by trigram instead: every match at or above
+    ``threshold`` is found, alternatives are those that could reach it, and a name
+    without any gets confidence 0.
     """
-    small = _fits_inline(choices, inline_limit)
     names = spread_names(names)
-    if scorer == "token_sort":
-        if not small:
-            raise ValueError("the token-sort scorer needs a registry within inline_limit")
-        ranked = _token_sort_top(names, choices, _TOP)
+    if scorer == "token_sort" or (not matches_only and not _fits_inline(choices, inline_limit)):
+        ranked = names.join(indexed_top(names, choices, _TOP, scorer), "name", "left")
     elif matches_only:
         ranked = _joined_top(names, choices, _TOP, threshold)
-    elif small:
-        ranked = _inline_top(names, choices, _TOP)
     else:
-        ranked = _blocked_top(names, choices, _TOP, inline_limit)
+        ranked = _inline_top(names, choices, _TOP)
     return ranked.select(*names.columns, *[c.alias(n) for n, c in _verdict(threshold).items()])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from decreta import constants as K
 from decreta.operators import matching as Mt
+from decreta.operators.name_index import indexed_top
 from decreta.operators import mutations as U
 from decreta.operators import ordering as Ord
 from decreta.operators import relational as R
@@ -291,6 +292,53 @@ def fuzzy_match_blocks(spark, d):
     return found.select("name", "canonical_name", F.array_join(F.transform("alternatives", lambda x: x["name"]), ", ").alias("alternatives"))
 
 
+# Every part's name, type and brand with one letter left out, against all of them and their
+# aliases. Shared trigrams are counted by a join, as the SQL check would else take minutes.
+_FULL_TYPOS = "concat(substr({0}, 1, 2 + p_size % 3), substr({0}, 4 + p_size % 3))"
+_INDEX_SQL = _LARGE_SQL + f""", typo AS (SELECT DISTINCT {_FULL_TYPOS.format("p_name || ' ' || p_type || ' ' || p_brand")} AS name FROM part),
+ch AS (SELECT name AS choice, name AS canonical, 1 AS k, ord FROM reg UNION ALL SELECT alias, canonical, 2, ord FROM ali WHERE alias NOT IN (SELECT name FROM reg)),
+ct AS (SELECT *, {_TRI.format('choice')} AS t FROM ch), qt AS (SELECT name, {_TRI.format('name')} AS t FROM typo),
+shared AS (SELECT q.name, c.choice, COUNT(*) AS n FROM (SELECT name, unnest(t) AS x FROM qt) q JOIN (SELECT choice, unnest(t) AS x FROM ct) c USING (x) GROUP BY 1, 2),
+sc AS (SELECT name, choice, canonical, k, ord, LEAST(1.0, CAST(n AS DOUBLE) / (len(qt.t) + len(ct.t) - n)
+  + CASE WHEN contains(lower(name), lower(choice)) OR contains(lower(choice), lower(name)) THEN 0.15 ELSE 0.0 END
+  + CAST(LEAST(length(name), length(choice)) AS DOUBLE) / GREATEST(length(name), length(choice)) * 0.1) AS score FROM shared JOIN qt USING (name) JOIN ct USING (choice)),
+rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY name ORDER BY ROUND(score, 12) DESC, k, ord) AS rn FROM sc)"""
+
+
+def _full(spark, d):
+    whole = F.concat_ws(" ", "p_name", "p_type", "p_brand")
+    names = table(spark, d, "part").withColumn("whole", whole).selectExpr(f"{_FULL_TYPOS.format('whole')} AS name").distinct()
+    return names, Mt.candidates(Mt.prepare_registry(*_registry(spark, d, whole)))
+
+
+@query("fuzzy_match_indexed", f"""WITH {_INDEX_SQL}
+SELECT name, choice, CAST(rn AS INTEGER) AS rank, ROUND(score, 6)::DOUBLE AS score FROM rk WHERE rn <= 5""")
+def fuzzy_match_indexed(spark, d):
+    """The five most similar entries of each misspelled name, through the posting lists."""
+    names, choices = _full(spark, d)
+    top = indexed_top(names, choices, 5).select("name", F.posexplode("_top").alias("i", "t"))
+    return top.select("name", "t.choice", (F.col("i") + 1).alias("rank"), F.round(-F.col("t.neg"), 6).alias("score"))
+
+
+@query("fuzzy_match_work", f"""WITH {_INDEX_SQL}
+SELECT (SELECT COUNT(*) FROM typo) * (SELECT COUNT(*) FROM ch) AS all_pairs, TRUE AS few_scored""")
+def fuzzy_match_work(spark, d):
+    """Pairs of names and entries, and whether fewer than one in twenty was scored."""
+    names, choices = _full(spark, d)
+    work = indexed_top(names, choices, 5).agg(F.count(F.lit(1)).alias("names"), F.sum("scored").alias("scored"))
+    entries = choices.agg(F.count(F.lit(1)).alias("entries"))
+    pairs = F.col("names") * F.col("entries")
+    return work.join(F.broadcast(entries)).select(pairs.alias("all_pairs"), (20 * F.col("scored") < pairs).alias("few_scored"))
+
+
+@query("token_sort_match")
+def token_sort_match(spark, d):
+    """The same names by the token-sort scorer."""
+    names, choices = _full(spark, d)
+    found = Mt.fuzzy_match(names, choices, scorer="token_sort")
+    return found.select("name", "canonical_name", "confidence", "method", F.transform("alternatives", lambda x: x["name"]).alias("alternatives"))
+
+
 @query("candidate_ranks", f"""WITH {_REG_SQL}, {_TYPOS_SQL}, q AS (SELECT name FROM typo), {_SCORED_SQL}
 SELECT name, choice, canonical, CAST(rn AS INTEGER) AS rank, ROUND(score, 6)::DOUBLE AS score FROM rk WHERE rn <= 5""")
 def candidate_ranks(spark, d):

@@ -60,7 +60,7 @@ def test_large_registry_plan_finds_every_match(spark, registry):
     joined = M.fuzzy_match(names, choices, matches_only=True)
     whole = lambda df: sorted(str(r) for r in df.collect())
     assert whole(M.fuzzy_match(names, choices, inline_limit=3)) == whole(M.fuzzy_match(names, choices))
-    assert whole(M.rank_candidates(names, choices, block=3)) == whole(M.rank_candidates(names, choices))
+    assert whole(M.rank_candidates(names, choices, inline_limit=3)) == whole(M.rank_candidates(names, choices))
     assert best(joined) == best(M.fuzzy_match(names, choices)) != {}
     text = plan(joined)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
