@@ -33,7 +33,7 @@ from decreta.functions.similarity import CONTAINMENT, LENGTH_WEIGHT, common_leng
 
 # Registry entries that a group lays out, and names that it answers.
 SHARD_ENTRIES, SHARE_NAMES = 50_000, 20_000
-BLOCK_ENTRIES = 256
+BLOCK_ENTRIES = 4_096
 _SLACK = 1e-9
 FOUND = "name string, best array<struct<neg:double,pri:int,pos:bigint,choice:string>>, scored bigint"
 
@@ -124,7 +124,8 @@ class TrigramShard(Shard):
             base = count / np.maximum(1, n + size - count)
             close = np.minimum(length, len(low)) / np.maximum(1, np.maximum(length, len(low))) * LENGTH_WEIGHT
             bound = base + CONTAINMENT + close
-            left = np.argsort(-bound, kind="stable")
+            left = np.flatnonzero(bound >= best.least - _SLACK)
+            left = left[np.argsort(-bound[left], kind="stable")]
             while len(left):  # a few at a time, as each raises the score needed
                 left = left[bound[left] >= best.least - _SLACK]
                 now, left = left[:best.k], left[best.k:]
@@ -162,7 +163,8 @@ class TokenSortShard(Shard):
             total = self.size[start:end] + len(text)
             common = np.minimum(self.counts[start:end][:, used], mine[used]).sum(axis=1, dtype=np.int64)
             bound = np.where(total > 0, 2.0 * common / np.maximum(1, total), 1.0)
-            left = np.argsort(-bound, kind="stable")
+            left = np.flatnonzero(bound >= best.least - _SLACK)
+            left = left[np.argsort(-bound[left], kind="stable")]
             take = best.k
             while len(left):
                 left = left[bound[left] >= best.least - _SLACK]

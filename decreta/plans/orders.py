@@ -155,6 +155,7 @@ def _log(results: DataFrame, as_of: Column) -> DataFrame:
         F.when(F.col("error").isNotNull(), "error").otherwise("info").alias("level"),
         stage.alias("stage"), message.alias("message"),
         F.create_map(F.lit("records"), F.col("records").cast("string"),
+                     F.lit("matched"), F.col("matched").cast("string"), F.lit("unmatched"), F.col("unmatched").cast("string"),
                      F.lit("text_length"), F.coalesce(F.col("text_length"), F.lit(0)).cast("string")).alias("details"),
         as_of.alias("created_at"),
     ))
@@ -167,14 +168,19 @@ def log_entries(entries: DataFrame) -> DataFrame:
     )
 
 
+def processed_orders(done: Processed) -> DataFrame:
+    """``order_id`` of the orders whose rows were extracted, also of those without any."""
+    ok = (F.col("status") == "extracted") & ~F.col("skipped")
+    return done.results.filter(ok).select(F.col("id").alias("order_id"))
+
+
 def apply_processed(orders: DataFrame, assignments: DataFrame, done: Processed,
                     as_of: Column) -> tuple[DataFrame, DataFrame]:
     """New snapshots of the order and assignment tables."""
-    ok = done.results.filter((F.col("status") == "extracted") & ~F.col("skipped"))
     rows = done.rows.select(assignments.columns)
     return (
         update_orders(orders, done.updates, as_of),
-        replace_rows(assignments, rows, "order_id", ok.select(F.col("id").alias("order_id"))),
+        replace_rows(assignments, rows, "order_id", processed_orders(done)),
     )
 
 

@@ -462,6 +462,40 @@ def store_roundtrip(spark, d):
     return store.read("orders").select("id", "status", "order_date", "page_count")
 
 
+@query("store_put", with_sql(A, then="""
+SELECT id, order_id, sport FROM asg WHERE order_id % 5 <> 0 UNION ALL SELECT id, order_id, 'again' FROM asg WHERE order_id % 5 = 0 AND row_no <= 2"""))
+def store_put(spark, d):
+    """Rows of some orders replaced in the stored table, in two rounds of which one is replayed."""
+    store = Store(spark, _folder(spark, "put"))
+    store.overwrite("assignments", m.assignments(spark, d))
+    touched = table(spark, d, "lineitem").selectExpr("l_orderkey AS order_id").filter("order_id % 5 = 0").distinct()
+    again = m.assignments(spark, d).filter("order_id % 5 = 0 AND row_no <= 2").withColumn("sport", F.lit("again"))
+    store.put("assignments", again.withColumn("sport", F.lit("first")).filter("row_no = 1"), touched, ("job", 0))
+    store.put("assignments", again, touched, ("job", 1))
+    store.put("assignments", again.withColumn("sport", F.lit("replayed")), touched, ("job", 0))
+    kinds = m.assignments(spark, d).schema
+    return store.read("assignments").select(F.col("id").cast(kinds["id"].dataType), F.col("order_id").cast(kinds["order_id"].dataType), "sport")
+
+
+@query("store_files", """
+SELECT 'all orders' AS change, LEAST(COUNT(*), 16) AS files FROM orders UNION ALL VALUES ('one order', 1), ('one order again', 1), ('replayed', 0)""")
+def store_files(spark, d):
+    """Files that each change of the stored orders wrote: one for each partition it touched."""
+    store = Store(spark, _folder(spark, "files"), partitions=16)
+    orders = m.orders(spark, d)
+    one = orders.orderBy("id").limit(1)
+    steps = [("all orders", lambda: store.overwrite("orders", orders)), ("one order", lambda: store.append("orders", one.withColumn("id", F.lit("new")))),
+             ("one order again", lambda: store.put("orders", one.withColumn("status", F.lit("failed")), batch=("job", 0))),
+             ("replayed", lambda: store.put("orders", one, batch=("job", 0)))]
+    out, before = [], set()
+    for name, step in steps:
+        step()
+        now = {e.path for e in store.entries("orders") if e.path}
+        out.append((name, len(now - before)))
+        before = now
+    return spark.createDataFrame(out, "change string, files long")
+
+
 @query("export_files", with_sql(S, O, A, then="""
 SELECT o.order_number AS "order", COUNT(a.id) AS items, COALESCE(BOOL_OR(a.action = 'assignment'), FALSE) AS assignment
 FROM ord o JOIN src s ON o.source_id = s.id LEFT JOIN asg a ON a.order_id = o.id WHERE o.status = 'approved' GROUP BY o.id, o.order_number"""))

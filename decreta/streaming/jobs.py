@@ -1,8 +1,9 @@
 """Continuous forms of the batch jobs, as Structured Streaming queries.
 
 State that must last (known pages, stored orders) lives in the store's tables and is
-changed inside ``foreachBatch`` by the same functions the batch jobs use; every batch
-is idempotent, so a batch replayed after a failure changes nothing.
+changed inside ``foreachBatch`` by the same functions the batch jobs use. A round writes
+the rows it changes, not the tables; every commit carries the query and the number of the
+batch, so a batch replayed after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from decreta.functions.pages import page_fingerprint
 from decreta.operators.ordering import change_status, keep_first
 from decreta.operators.relational import not_stored
 from decreta.plans.changes import detect_changes
-from decreta.plans.orders import apply_processed, process_orders
+from decreta.plans.orders import apply_processed, process_orders, processed_orders
 from decreta.sources.store import Store
 
 _PAGES = "source_code string, list_no int, page_no int, url string, html string, etag string"
@@ -29,19 +30,26 @@ def _start(stream: DataFrame, body: Callable[[DataFrame, int], None], checkpoint
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id that Spark gave the query when its checkpoint began; a new checkpoint counts anew."""
+    return spark.read.text(f"{checkpoint}/metadata").first()[0]
+
+
 def watch_pages(spark: SparkSession, landed: str, store: Store, checkpoint: str, as_of: Callable[[], Column],
                 files_per_batch: int = 1000, once: bool = False, interval: str = "300 seconds") -> StreamingQuery:
     """Detect new documents on landing list pages and queue them as orders."""
     stream = spark.readStream.schema(_PAGES).option("maxFilesPerTrigger", files_per_batch).parquet(landed)
 
-    def body(pages: DataFrame, _: int) -> None:
+    def body(pages: DataFrame, number: int) -> None:
+        batch = (_query_id(spark, checkpoint), number)
         sources, orders = store.read("registry_sources"), store.read("orders")
         keyed = sources.withColumn("id", F.col("code"))
         found = detect_changes(pages, keyed, orders, as_of())
         # Ids come from content, so a replayed batch finds its own orders and adds none.
         once_each = keep_first(found.new_orders, ["id"], [F.col("created_at")])
-        store.append("orders", not_stored(once_each, orders, ["id"]))
-        store.overwrite("registry_sources", found.sources.select(sources.columns))
+        store.append("orders", not_stored(once_each, orders, ["id"]), batch)
+        checked = pages.select(F.col("source_code").alias("code")).distinct()
+        store.put("registry_sources", found.sources.select(sources.columns).join(checked, "code", "left_semi"), batch=batch)
 
     return _start(stream, body, checkpoint, once, interval)
 
@@ -115,23 +123,21 @@ def drain_orders(spark: SparkSession, landed_texts: str, store: Store, checkpoin
            "ocr_confidence double")
     stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", files_per_batch).parquet(landed_texts)
 
-    def body(texts: DataFrame, _: int) -> None:
-        orders, rows = store.read("orders"), store.read("assignments")
+    def body(texts: DataFrame, number: int) -> None:
+        batch = (_query_id(spark, checkpoint), number)
+        orders = store.read("orders")
         once_each = keep_first(texts, ["order_id"], [F.col("file_hash")])
         waiting = orders.join(once_each.select(F.col("order_id").alias("id")), "id", "left_semi")
         done = process_orders(
             waiting, once_each, store.read("registry_sources").withColumn("id", F.col("code")),
             allowed_hosts, registry, aliases, as_of(), stored_orders=orders,
         )
-        new_orders, new_rows = apply_processed(orders, rows, done, as_of())
-        touched = done.rows.select("order_id").distinct()
-        if rows.join(touched, "order_id", "left_semi").isEmpty():
-            # Pending orders seldom have rows yet: add files instead of rewriting the table.
-            store.append("assignments", done.rows)
-        else:
-            store.overwrite("assignments", new_rows)
-        # The log first: a stop before the orders repeats the round and its entries by id.
-        store.append("processing_log", not_stored(done.log, store.read("processing_log"), ["id"]))
-        store.overwrite("orders", new_orders)
+        # Only what the round changes is written: the rows of its orders, then the orders.
+        changed = orders.join(done.updates.select("id"), "id", "left_semi")
+        new_orders, _ = apply_processed(changed, done.rows, done, as_of())
+        store.put("assignments", done.rows, processed_orders(done), batch)
+        # The log before the orders: a stop in between repeats the round, whose log is in the ledger.
+        store.append("processing_log", not_stored(done.log, store.read("processing_log"), ["id"]), batch)
+        store.put("orders", new_orders, batch=batch)
 
     return _start(stream, body, checkpoint, once, interval)
