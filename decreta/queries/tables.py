@@ -551,7 +551,7 @@ def stream_hash_changes(spark, d):
     snaps = _stream(spark, d, "pages").select("page_id", "url", "html", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("snap"))
     snaps = snaps.select("url", (base + F.make_dt_interval(F.col("snap") * 7)).alias("seen_at"),
                          F.when((F.col("snap") % 2 == 1) & (F.col("page_id") % 3 == 0), F.concat("html", F.lit("new"))).otherwise(F.col("html")).alias("html"))
-    J.track_page_changes(snaps, out + "/data", out + "/state", out + "/ckpt", once=True).awaitTermination()
+    J.track_page_changes(snaps, out + "/data", out + "/ckpt", once=True).awaitTermination()
     return J.page_changes(spark, out + "/data").select("url", (F.datediff("seen_at", base) / 7).cast("int").alias("snap"), "change")
 
 
@@ -567,7 +567,7 @@ def stream_late_snapshots(spark, d):
     for wave in (F.col("snap").isin(1, 3), F.col("snap").isin(0, 2)):
         snaps.filter(wave).drop("snap").write.mode("append").parquet(out + "/landed")
         stream = spark.readStream.schema("url string, seen_at timestamp, html string").parquet(out + "/landed")
-        J.track_page_changes(stream, out + "/data", out + "/state", out + "/ckpt", once=True).awaitTermination()
+        J.track_page_changes(stream, out + "/data", out + "/ckpt", once=True).awaitTermination()
     return J.page_changes(spark, out + "/data").select("url", (F.datediff("seen_at", base) / 7).cast("int").alias("snap"), "change")
 
 

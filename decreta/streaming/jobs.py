@@ -8,14 +8,15 @@ batch, so a batch replayed after a failure changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from decreta.functions.pages import page_fingerprint
-from decreta.operators.ordering import change_status, keep_first
+from decreta.operators.ordering import keep_first
 from decreta.operators.relational import not_stored
 from decreta.plans.changes import detect_changes
 from decreta.plans.orders import apply_processed, process_orders, processed_orders
@@ -54,51 +55,84 @@ def watch_pages(spark: SparkSession, landed: str, store: Store, checkpoint: str,
     return _start(stream, body, checkpoint, once, interval)
 
 
+def keep_state_on_disk(spark: SparkSession, memory_mb: int = 512) -> None:
+    """Queries started from now on keep their state in RocksDB: executors hold a bounded
+    part of it in memory, and each round writes its changes to the checkpoint."""
+    store = "spark.sql.streaming.stateStore"
+    spark.conf.set(f"{store}.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
+    spark.conf.set(f"{store}.rocksdb.maxMemoryUsageMB", str(memory_mb))
+
+
 def distinct_documents(files: DataFrame, watermark: str | None = None, at: str = "landed_at") -> DataFrame:
     """Exactly-once intake by content hash.
 
     With a ``watermark`` the state is bounded and copies landing further apart than it
-    pass again; without one, every hash is remembered.
+    pass again; without one, every hash is remembered, on disk.
     """
+    keep_state_on_disk(files.sparkSession)
     if watermark is None:
         return files.dropDuplicates(["file_hash"])
     return files.withWatermark(at, watermark).dropDuplicatesWithinWatermark(["file_hash"])
 
 
-def track_page_changes(stream: DataFrame, target: str, state: str, checkpoint: str, key: str = "url",
-                       at: str = "seen_at", once: bool = False, interval: str = "300 seconds",
-                       buckets: int = 64) -> StreamingQuery:
-    """Write the change status of every snapshot, also of those that arrive late.
+class PageHistory(StatefulProcessor):
+    """Snapshots of one page that have arrived so far, as a list state.
 
-    ``stream`` has ``key, at, html``. The fingerprints of each batch are kept in a folder
-    of its own, split by a hash of the key. The history of the keys in a batch is compared
-    anew and written with it, so that a late snapshot also corrects the one after it;
-    :func:`page_changes` reads the last word on each snapshot. Replayed batches overwrite
-    their own output only.
+    A round reads and writes the lists of the pages it touches. Rows come out for each
+    new snapshot and for the one after it, whose status may have turned; ``version``, the
+    number of snapshots known, tells which row is the later word.
     """
-    ddl = f"{key} string, {at} timestamp, page_hash string, batch int, bucket int"
-
-    def body(pages: DataFrame, batch: int) -> None:
-        spark = pages.sparkSession
-        now = pages.select(key, at, page_fingerprint(F.col("html")).alias("page_hash")).withColumn(
-            "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        now.write.partitionBy("bucket").mode("overwrite").parquet(f"{state}/batch={batch}")
-        kept = spark.read.schema(ddl).parquet(state).filter(F.col("batch") <= batch)
-        mine = kept.filter(F.col("batch") == batch)
-        touched = [r[0] for r in mine.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        history = kept.filter(F.col("bucket").isin(touched)).join(mine.select(key).distinct(), key, "left_semi")
-        once_each = keep_first(history, [key, at], [F.col("batch"), F.col("page_hash")])
-        change_status(once_each, key, at, "page_hash").select(
-            key, at, "page_hash", "change").write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
-    return _start(stream, body, checkpoint, once, interval)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getListState("seen", "at timestamp, page_hash string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = dict(self.seen.get()) if self.seen.exists() else {}
+        # A snapshot that is known stays as it is; of equal times the smallest hash counts.
+        fresh: dict = {}
+        for frame in rows:
+            for at, page_hash in zip((t.to_pydatetime() for t in frame["at"]), frame["page_hash"]):
+                if at not in known:
+                    fresh[at] = min(page_hash, fresh.get(at, page_hash))
+        if not fresh:
+            return
+        self.seen.appendList(list(fresh.items()))
+        known |= fresh
+        times, out = sorted(known), []
+        for before, at in zip([None, *times], times):
+            if at in fresh or before in fresh:
+                change = "first" if before is None else "unchanged" if known[before] == known[at] else "changed"
+                out.append((key[0], at, known[at], change, len(times)))
+        yield pd.DataFrame(out, columns=["key", "at", "page_hash", "change", "version"])
+
+
+def track_page_changes(stream: DataFrame, target: str, checkpoint: str, key: str = "url", at: str = "seen_at",
+                       once: bool = False, interval: str = "300 seconds") -> StreamingQuery:
+    """Write the change status of every snapshot, also of those that arrive late.
+
+    ``stream`` has ``key, at, html``; rows without a key or a time have no history and are
+    left out. The snapshots of a page are state of the query, kept by page in RocksDB. A
+    late snapshot also corrects the one after it; :func:`page_changes` reads the last word
+    on each.
+    """
+    keep_state_on_disk(stream.sparkSession)
+    marked = stream.select(F.col(key).alias("key"), F.col(at).alias("at"), page_fingerprint(F.col("html")).alias("page_hash"))
+    # A null page has a fingerprint of its own, so that it can be compared.
+    ready = marked.filter("key IS NOT NULL AND at IS NOT NULL").withColumn("page_hash", F.coalesce("page_hash", F.lit("")))
+    told = ready.groupBy("key").transformWithStateInPandas(
+        PageHistory(), "key string, at timestamp, page_hash string, change string, version bigint", "append", "None")
+    writer = told.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start(target)
 
 
 def page_changes(spark: SparkSession, target: str, key: str = "url", at: str = "seen_at") -> DataFrame:
     """Status of every snapshot that :func:`track_page_changes` has seen, corrected by the
     snapshots that came later."""
-    written = spark.read.schema(f"{key} string, {at} timestamp, page_hash string, change string, batch int").parquet(target)
-    return keep_first(written, [key, at], [F.col("batch").desc()]).drop("batch")
+    written = spark.read.schema("key string, at timestamp, page_hash string, change string, version bigint").parquet(target)
+    last = keep_first(written, ["key", "at"], [F.col("version").desc()])
+    return last.select(F.col("key").alias(key), F.col("at").alias(at), "page_hash", "change")
 
 
 def daily_counts(events: DataFrame, at: str = "created_at", watermark: str = "1 day") -> DataFrame:
