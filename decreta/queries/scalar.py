@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from decreta import constants as K
@@ -17,6 +19,7 @@ from decreta.operators import links as Links
 from decreta.operators.relational import url_policy
 from decreta.plans.normalize import rank_attributes
 from decreta.queries.model import table
+from decreta.session import shared_folder
 from decreta.sources.documents import admit_documents, read_documents, with_file_hash
 from decreta.sources.registry import reference_dim
 
@@ -49,10 +52,17 @@ def sql_pick(values, index):
 
 
 # --- files ---------------------------------------------------------------------------
-@query("document_files")
+@query("document_files", """
+SELECT doc_id, strlen(text) + 1 AS length, sha256(text || chr(10)) AS file_hash, substr(sha256(text || chr(10)), 1, 16) || '.pdf' AS file_name
+FROM documents WHERE strlen(text) + 1 <= 6000""")
 def document_files(spark, d):
-    return read_documents(spark, d, "*.parquet").select(
-        F.regexp_extract("path", "([^/]+)$", 1).alias("file_name"), "length")
+    """Every text written as a file of its own (with a line feed at its end); files up to
+    6,000 bytes are opened, hashed and named by their content."""
+    folder = f"{shared_folder(spark)}/staged/files-{uuid.uuid4().hex}"
+    table(spark, d, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    found = with_file_hash(read_documents(spark, folder, "*.txt", max_bytes=6000))
+    doc_id = F.regexp_extract("path", "doc_id=([^/]+)/", 1).cast("bigint")
+    return found.select(doc_id.alias("doc_id"), "length", "file_hash", "file_name")
 
 
 @query("file_hash", """
@@ -239,11 +249,13 @@ def unglue_words(spark, d):
 
 
 @query("split_name", """
-SELECT doc_id, NULLIF(w[1], '') AS last_name, w[2] AS first_name, CASE WHEN len(w) > 2 THEN array_to_string(w[3:], ' ') END AS middle_name
-FROM (SELECT doc_id, string_split(trim(regexp_replace(string_split(text, chr(10))[1], ' +', ' ', 'g')), ' ') AS w FROM documents)""")
+SELECT doc_id, line_no, NULLIF(w[1], '') AS last_name, w[2] AS first_name, CASE WHEN len(w) > 2 THEN array_to_string(w[3:], ' ') END AS middle_name
+FROM (SELECT doc_id, CAST(i AS INTEGER) AS line_no, string_split(trim(regexp_replace(lines[i], ' +', ' ', 'g')), ' ') AS w FROM (
+  SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents))""")
 def split_name(spark, d):
-    first = F.element_at(F.split("text", "\n"), 1)
-    return table(spark, d, "documents").select("doc_id", N.split_person_name(first).alias("n")).select("doc_id", "n.*")
+    """Every line of every text read as a name."""
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    return lines.select("doc_id", (F.col("i") + 1).alias("line_no"), N.split_person_name(F.col("line")).alias("n")).select("doc_id", "line_no", "n.*")
 
 
 @query("coach_list", """
@@ -311,11 +323,12 @@ SELECT doc_id, n AS readable, CASE WHEN n >= 80 THEN 'pypdf' WHEN r >= 0.7 OR tr
   n < 80 AND r < 0.7 AS needs_review FROM (
  SELECT doc_id, scan, CAST(length(regexp_replace(layer, '{_READABLE}', '', 'g')) AS INTEGER) AS n,
   CASE WHEN length(scan) >= 10 THEN CAST(length(regexp_replace(scan, '{_READABLE}', '', 'g')) AS DOUBLE) / length(scan) ELSE 0 END AS r FROM (
-  SELECT doc_id, trim(CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 10 + CAST(n_chars % 200 AS INTEGER)) ELSE '' END, ' ' || chr(10)) AS layer,
+  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text ELSE regexp_replace(text, '[^0-9]', '', 'g') END AS layer,
     CASE doc_id % 3 WHEN 1 THEN text WHEN 2 THEN translate(text, 'aeiourt', '§§§§§§§') ELSE '' END AS scan FROM documents))""")
 def route_pages(spark, d):
+    """The whole text as layer, or its digits alone, which seldom make a page."""
     pages = table(spark, d, "documents").selectExpr(
-        "doc_id", "CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 10 + CAST(n_chars % 200 AS INT)) ELSE '' END AS layer_text",
+        "doc_id", "CASE WHEN doc_id % 3 = 0 THEN text ELSE regexp_replace(text, '[^0-9]', '') END AS layer_text",
         "CASE doc_id % 3 WHEN 1 THEN text WHEN 2 THEN translate(text, 'aeiourt', '§§§§§§§') ELSE '' END AS scan_text")
     return Doc.route_pages(pages).select("doc_id", "readable", "method", "confidence", "needs_review")
 

@@ -108,11 +108,13 @@ def guarded_transitions(spark, d):
 
 
 @query("guarded_delete", with_sql(S, O, then="""
-SELECT id, code FROM src s WHERE NOT (id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM ord o WHERE o.source_id = s.id AND o.status = 'approved' AND o.page_count > 19 AND o.ocr_confidence > 0.9))"""))
+SELECT id, code FROM (SELECT id, code FROM src UNION ALL SELECT id + 100, code || '-2' FROM src) s
+WHERE NOT (id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM ord o WHERE o.source_id = s.id))"""))
 def guarded_delete(spark, d):
+    """Half of the sources named for deletion, old ones and ones that have no order yet."""
     src = m.sources(spark, d).select("id", "code")
-    busy = m.orders(spark, d).filter("status = 'approved' AND page_count > 19 AND ocr_confidence > 0.9")
-    return U.delete_unused(src, src.filter("id % 2 = 0").select("code"), busy)
+    both = src.unionByName(src.select((F.col("id") + 100).alias("id"), F.concat("code", F.lit("-2")).alias("code")))
+    return U.delete_unused(both, both.filter("id % 2 = 0").select("code"), m.orders(spark, d))
 
 
 @query("source_changes", with_sql(S, then="""
@@ -159,24 +161,31 @@ def rename_history(spark, d):
 
 
 # --- registry -----------------------------------------------------------------------------
-_SHEETS = """CASE p_size % 4 WHEN 0 THEN 'Признанные' WHEN 1 THEN 'Общероссийские' WHEN 2 THEN 'Национальные' ELSE 'Прикладные' END"""
+_SHEETS = "array('Признанные', 'Общероссийские', 'Национальные', 'Прикладные')"
 
 
 def _sheets(spark, d):
-    """Every third part heads a sport, the two after it are its disciplines."""
+    """Every third part heads a sport, the two after it are its disciplines; sports take
+    turns on four sheets, which are written as CSV files and read again."""
     part = table(spark, d, "part").selectExpr("p_partkey", "p_name", "p_type", "p_brand", "pmod(p_partkey, 3) AS k")
     sport = "CASE WHEN k = 0 THEN {} END"
-    return part.selectExpr(
-        "'Признанные' AS sheet", "CAST(p_partkey AS INT) AS row_no", sport.format("CAST(p_partkey AS STRING)") + " AS c1", sport.format("p_name") + " AS c2",
+    cells = part.selectExpr(
+        f"element_at({_SHEETS}, CAST(p_partkey div 3 % 4 + 1 AS INT)) AS sheet", "p_partkey", sport.format("CAST(p_partkey AS STRING)") + " AS c1", sport.format("p_name") + " AS c2",
         sport.format("concat(p_partkey, '.0')") + " AS c3", sport.format("'0'") + " AS c4", "CAST(NULL AS STRING) AS c5", "CAST(NULL AS STRING) AS c6",
         "CAST(NULL AS STRING) AS c7", "CAST(NULL AS STRING) AS c8", "CAST(NULL AS STRING) AS c9", "CASE WHEN k > 0 THEN p_type END AS c10")
+    path = _folder(spark, "sheets")
+    cells.repartition("sheet").sortWithinPartitions("sheet", "p_partkey").drop("p_partkey").write.partitionBy("sheet").option("header", "true").csv(path)
+    return Reg.read_sheet_exports(spark, path)
 
 
-@query("registry_disciplines", """
-SELECT CAST(p_partkey AS INTEGER) AS row_no, CAST(p_partkey - p_partkey % 3 AS INTEGER) AS code_base, p_type AS discipline FROM part
-WHERE p_partkey % 3 > 0 AND p_partkey - p_partkey % 3 >= (SELECT MIN(p_partkey) FROM part WHERE p_partkey % 3 = 0)""")
+_GROUPED_SQL = "g AS (SELECT *, p_partkey // 3 % 4 AS sheet, p_partkey - p_partkey % 3 AS base, MIN(p_partkey) FILTER (p_partkey % 3 = 0) OVER (PARTITION BY p_partkey // 3 % 4) AS first FROM part)"
+
+
+@query("registry_disciplines", f"""WITH {_GROUPED_SQL}
+SELECT ['Признанные', 'Общероссийские', 'Национальные', 'Прикладные'][sheet + 1] AS sheet, row_no, CAST(base AS INTEGER) AS code_base, p_type AS discipline
+FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY sheet ORDER BY p_partkey) AS INTEGER) AS row_no FROM g) WHERE p_partkey % 3 > 0 AND base >= first""")
 def registry_disciplines(spark, d):
-    return G.explode_disciplines(_sheets(spark, d)).select("row_no", "code_base", "discipline")
+    return G.explode_disciplines(_sheets(spark, d)).select("sheet", "row_no", "code_base", "discipline")
 
 
 def _empty(spark, name):
@@ -193,9 +202,9 @@ def registry_import(spark, d):
     return done.sports.select(F.col("id").alias("sport_id"), "code_base", "code_full").join(names, "sport_id").drop("sport_id")
 
 
-@query("registry_statistics", """
-SELECT CAST(1 AS INTEGER) AS section, (SELECT COUNT(*) FROM part WHERE p_partkey % 3 = 0) AS sports, COUNT(*) AS disciplines FROM (
-  SELECT DISTINCT p_partkey - p_partkey % 3 AS s, p_type FROM part WHERE p_partkey % 3 > 0 AND p_partkey - p_partkey % 3 >= (SELECT MIN(p_partkey) FROM part WHERE p_partkey % 3 = 0))""")
+@query("registry_statistics", f"""WITH {_GROUPED_SQL}, s AS (SELECT sheet, COUNT(*) AS sports FROM g WHERE p_partkey % 3 = 0 GROUP BY 1),
+t AS (SELECT sheet, COUNT(DISTINCT (base, p_type)) AS disciplines FROM g WHERE p_partkey % 3 > 0 AND base >= first GROUP BY 1)
+SELECT CAST(sheet + 1 AS INTEGER) AS section, sports, COALESCE(disciplines, 0) AS disciplines FROM s LEFT JOIN t USING (sheet)""")
 def registry_statistics(spark, d):
     done = G.import_registry(_sheets(spark, d), _empty(spark, "sports"), _empty(spark, "sport_names"), _empty(spark, "sport_disciplines"),
                              "first", "hash", F.lit("2024-01-01").cast("date"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from decreta import constants as K
 from decreta.functions.pages import url_host
 from decreta.schemas import REGISTRY_SHEET, SOURCE
+from decreta.session import broadcast_checked, staged
 
 
 def builtin_sources(spark: SparkSession) -> DataFrame:
@@ -91,3 +92,31 @@ def read_sport_registry(spark: SparkSession, csv_dir: str) -> DataFrame:
     rows = spark.read.schema(ddl).option("header", "true").csv(csv_dir)
     sheet = F.regexp_extract(F.url_decode(F.col("_metadata.file_name")), r"^(.*?)(?:\.csv)?$", 1)
     return rows.select(sheet.alias("sheet"), *rows.columns)
+
+
+def number_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_no, value``: the lines of text files numbered from 0 in each file.
+
+    A file is read in splits by many tasks. Lines are numbered inside their split; the
+    counts of the splits, one small row each, give every split its offset in the file.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), "value")
+    held = staged(lines, "numbered-lines")
+    splits = held.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return held.join(broadcast_checked(offsets), ["file", "block"]).select(
+        "file", (F.col("offset") + F.col("id") - F.col("first")).alias("line_no"), "value")
+
+
+def read_sheet_exports(spark: SparkSession, csv_dir: str) -> DataFrame:
+    """Exported registry sheets without row numbers: CSV files with a header line, one
+    line for each row. The sheet is the name of the folder ``sheet=...`` or of the file.
+    Forward fill of sports needs the order of rows, which comes from their place in the file."""
+    cells = ", ".join(c for c in REGISTRY_SHEET.split(", ") if c.startswith("c"))
+    place = F.url_decode(F.col("file"))
+    sheet = F.coalesce(F.nullif(F.regexp_extract(place, "sheet=([^/]+)/", 1), F.lit("")), F.regexp_extract(place, r"([^/]*?)(?:\.csv)?$", 1))
+    rows = number_lines(spark, csv_dir).filter("line_no > 0")
+    return rows.select(sheet.alias("sheet"), F.col("line_no").cast("int").alias("row_no"), F.from_csv("value", F.lit(cells)).alias("c")).select("sheet", "row_no", "c.*")

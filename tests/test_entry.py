@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 def test_keys_and_flagship(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     own = {n for n in queries if n != "pipeline" and not re.match(r"op\d+_", n)}
-    assert set(sql) <= set(queries) and own - set(sql) == {"document_files", "token_sort_scores", "token_sort_match"}
+    assert set(sql) <= set(queries) and own - set(sql) == {"token_sort_scores", "token_sort_match"}
     assert entry.entry(spark).count() == 25
 
 
