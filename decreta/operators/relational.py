@@ -215,6 +215,51 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: s
     return child.filter(F.col(foreign_key).isNotNull()).join(keys, foreign_key, "left_anti")
 
 
+# Every reference of the model: table and column, and the table whose ids it names.
+REFERENCES = [
+    ("orders", "source_id", "registry_sources"), ("orders", "parent_id", "orders"),
+    ("assignments", "order_id", "orders"), ("assignments", "sport_id", "sports"),
+    ("processing_log", "order_id", "orders"), ("processing_log", "source_id", "registry_sources"),
+    ("quality_metrics", "source_id", "registry_sources"),
+    ("golden_sets", "source_id", "registry_sources"), ("golden_sets", "order_id", "orders"),
+    ("sport_names", "sport_id", "sports"), ("sport_names", "source_version_id", "sport_registry_versions"),
+    ("sport_disciplines", "sport_id", "sports"),
+]
+
+
+def all_orphans(tables: dict[str, DataFrame]) -> DataFrame:
+    """``reference, id, key``: rows whose non-null reference points nowhere, for every
+    reference whose two tables are given (each with ``id``).
+
+    All references are tagged rows of one table, all ids of the named tables another.
+    Distinct keys are taken before the one anti-join between them, so a key that most
+    rows name is one row there; the few missing keys then find their rows.
+    """
+    wanted = [(t, c, p) for t, c, p in REFERENCES if t in tables and p in tables]
+    text = lambda c: F.col(c).cast("string")
+    refs = reduce(DataFrame.unionByName, [
+        tables[t].filter(F.col(c).isNotNull()).select(
+            F.lit(f"{t}.{c}").alias("reference"), F.lit(p).alias("parent"), text("id").alias("id"), text(c).alias("key"))
+        for t, c, p in wanted])
+    ids = reduce(DataFrame.unionByName, [
+        tables[p].select(F.lit(p).alias("parent"), text("id").alias("key")) for p in dict.fromkeys(p for _, _, p in wanted)])
+    missing = refs.select("parent", "key").distinct().join(ids, ["parent", "key"], "left_anti")
+    return refs.join(missing, ["parent", "key"]).select("reference", "id", "key")
+
+
+def all_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """``tbl, id, rule`` of every broken rule of the tables given (each with ``id``)."""
+    parts = [rule_violations(tables[t], "id", rules()).select(F.lit(t).alias("tbl"), F.col("id").cast("string").alias("id"), "rule")
+             for t, rules in RULES.items() if t in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
+RULES = {
+    "orders": order_rules, "assignments": assignment_rules, "registry_sources": source_rules,
+    "processing_log": log_rules, "sports": sport_rules, "rank_dictionary": rank_rules,
+}
+
+
 def first_links(links: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """Links distinct by key, keeping the first seen."""
     return keep_first(links, keys, list(order))

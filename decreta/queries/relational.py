@@ -181,28 +181,58 @@ def work_queue(spark, d):
 
 
 # --- checks ----------------------------------------------------------------------------
-@query("rule_violations", with_sql(S, O, L, then="""
+_CATEGORIES = ["звание", "разряд", "юношеский_разряд", "иное"]
+_MODEL_SQL = f"""sports AS (SELECT p_partkey AS id, CAST(p_partkey % 6 AS INTEGER) AS section FROM part WHERE p_partkey % 3 = 0),
+ranks AS (SELECT p_partkey AS id, ({_CATEGORIES})[1 + p_size % 4] AS category FROM part),
+names AS (SELECT p_partkey AS id, p_partkey - p_partkey % 3 AS sport_id, 'v' || p_size AS version FROM part),
+versions AS (SELECT DISTINCT 'v' || p_size AS id FROM part WHERE p_size % 10 <> 0),
+marked AS (SELECT id, order_id, CAST(replace(sport, 'sport ', '') AS BIGINT) AS sport_id, CASE WHEN row_no % 7 <> 0 THEN rank_category END AS rank_category FROM asg)"""
+
+
+def _model(spark, d):
+    """All tables that have rules or references, with some rows that break them."""
+    part = m.table(spark, d, "part")
+    names = part.selectExpr("p_partkey AS id", "p_partkey - p_partkey % 3 AS sport_id", "concat('v', p_size) AS source_version_id")
+    rows = m.assignments(spark, d).withColumns({
+        "sport_id": F.replace("sport", F.lit("sport "), F.lit("")).cast("bigint"), "rank_category": F.when(F.col("row_no") % 7 != 0, F.col("rank_category"))})
+    supplier = m.table(spark, d, "supplier").selectExpr("s_suppkey AS id", "s_suppkey % 30 AS source_id", "s_suppkey * 3 AS order_id")
+    return {
+        "registry_sources": m.sources(spark, d), "orders": m.orders(spark, d), "assignments": rows, "processing_log": m.log(spark, d),
+        "quality_metrics": m.table(spark, d, "customer").selectExpr("c_custkey AS id", "c_custkey % 30 AS source_id"), "golden_sets": supplier,
+        "sports": part.filter("p_partkey % 3 = 0").selectExpr("p_partkey AS id", "CAST(p_partkey % 6 AS INT) AS section"),
+        "rank_dictionary": part.select(F.col("p_partkey").alias("id"), F.element_at(F.array(*map(F.lit, _CATEGORIES)), (F.col("p_size") % 4 + 1).cast("int")).alias("category")),
+        "sport_registry_versions": part.filter("p_size % 10 <> 0").selectExpr("concat('v', p_size) AS id").distinct(),
+        "sport_names": names, "sport_disciplines": names.drop("source_version_id"),
+    }
+
+
+@query("rule_violations", with_sql(S, O, L, A, _MODEL_SQL, then="""
 SELECT 'orders' AS tbl, CAST(id AS VARCHAR) AS id, 'order_type' AS rule FROM ord WHERE order_type NOT IN ('приказ', 'распоряжение')
 UNION ALL SELECT 'orders', CAST(id AS VARCHAR), 'ocr_method' FROM ord WHERE ocr_method NOT IN ('pypdf', 'pdfminer', 'tesseract', 'vision')
-UNION ALL SELECT 'sources', CAST(id AS VARCHAR), 'source_type' FROM src WHERE source_type NOT IN ('pdf_portal', 'json_embed', 'html_table')
-UNION ALL SELECT 'log', CAST(id AS VARCHAR), 'level' FROM log WHERE level NOT IN ('info', 'warn', 'error')"""))
+UNION ALL SELECT 'registry_sources', CAST(id AS VARCHAR), 'source_type' FROM src WHERE source_type NOT IN ('pdf_portal', 'json_embed', 'html_table')
+UNION ALL SELECT 'processing_log', CAST(id AS VARCHAR), 'level' FROM log WHERE level NOT IN ('info', 'warn', 'error')
+UNION ALL SELECT 'assignments', id, 'rank_category' FROM marked WHERE rank_category IS NULL
+UNION ALL SELECT 'sports', CAST(id AS VARCHAR), 'section' FROM sports WHERE section NOT IN (1, 2, 3, 4)
+UNION ALL SELECT 'rank_dictionary', CAST(id AS VARCHAR), 'category' FROM ranks WHERE category = 'иное'"""))
 def rule_violations(spark, d):
-    found = [("orders", m.orders(spark, d), R.order_rules()), ("sources", m.sources(spark, d), R.source_rules()),
-             ("log", m.log(spark, d), R.log_rules())]
-    parts = [R.rule_violations(df, "id", rules).select(
-        F.lit(t).alias("tbl"), F.col("id").cast("string").alias("id"), "rule") for t, df, rules in found]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return R.all_violations(_model(spark, d))
 
 
-@query("orphan_check", with_sql(O, L, S, then="""
-SELECT 'log.order_id' AS reference, l.id FROM log l WHERE l.order_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ord o WHERE o.id = l.order_id)
-UNION ALL
-SELECT 'log.source_id', l.id FROM log l WHERE l.source_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM src s WHERE s.id = l.source_id)"""))
+def _missing_sql(reference, rows, column, parent):
+    return f"""SELECT '{reference}' AS reference, CAST(r.id AS VARCHAR) AS id, CAST(r.{column} AS VARCHAR) AS key FROM {rows} r
+WHERE r.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.id = r.{column})"""
+
+
+@query("orphan_check", with_sql(O, L, S, A, _MODEL_SQL, "quality AS (SELECT c_custkey AS id, c_custkey % 30 AS source_id FROM customer)",
+                                "golden AS (SELECT s_suppkey AS id, s_suppkey % 30 AS source_id, s_suppkey * 3 AS order_id FROM supplier)", then="\nUNION ALL ".join([
+    _missing_sql("orders.source_id", "ord", "source_id", "src"), _missing_sql("orders.parent_id", "ord", "parent_id", "ord"),
+    _missing_sql("assignments.order_id", "marked", "order_id", "ord"), _missing_sql("assignments.sport_id", "marked", "sport_id", "sports"),
+    _missing_sql("processing_log.order_id", "log", "order_id", "ord"), _missing_sql("processing_log.source_id", "log", "source_id", "src"),
+    _missing_sql("quality_metrics.source_id", "quality", "source_id", "src"), _missing_sql("golden_sets.source_id", "golden", "source_id", "src"),
+    _missing_sql("golden_sets.order_id", "golden", "order_id", "ord"), _missing_sql("sport_names.sport_id", "names", "sport_id", "sports"),
+    _missing_sql("sport_names.source_version_id", "names", "version", "versions"), _missing_sql("sport_disciplines.sport_id", "names", "sport_id", "sports")])))
 def orphan_check(spark, d):
-    log = m.log(spark, d)
-    one = R.orphans(log, "order_id", m.orders(spark, d), "id").select(F.lit("log.order_id").alias("reference"), "id")
-    return one.unionByName(R.orphans(log, "source_id", m.sources(spark, d), "id").select(
-        F.lit("log.source_id").alias("reference"), "id"))
+    return R.all_orphans(_model(spark, d))
 
 
 # --- aggregates --------------------------------------------------------------------------
