@@ -9,8 +9,9 @@ against the plain one; those well above it are added as spans of the kind ``form
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -44,7 +45,6 @@ _IN_ALPHABET[list(ALPHABET)] = True
 EDGE = len(ALPHABET)
 _CODES = np.full(256, EDGE, np.int64)
 _CODES[list(ALPHABET)] = np.arange(EDGE)
-_MIXED = re.compile(rb"[0-9]|.[a-z].*[A-Z]|.[A-Z].*[a-z]", re.S)
 SPAN = "struct<kind: int, start: long, end: long, value_start: long, value: string>"
 FOUND = f"doc_id long, key long, spans array<{SPAN}>"
 SCANNED = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
@@ -76,18 +76,26 @@ def _runs(texts: list[bytes]) -> list[list[tuple[int, int]]]:
 
 
 def find_spans(texts: list[bytes]) -> list[list[dict]]:
-    """Base spans and, as kind 3, further candidates of each text, in code points."""
+    """Base spans and, as kind 3, every other stretch of credential characters of each
+    text, in code points."""
     out = []
     for text, runs in zip(texts, _runs(texts)):
         found = base_spans(text)
         for a, b in runs:
             if b - a >= MIN_HEX:
                 found += [(2, m.start(), m.end(), m.start()) for m in _HEX.finditer(text, a, b)]
-        # A candidate overlaps no base span and is more than a word of one case.
-        found += [(3, a, b, a) for a, b in runs
-                  if _MIXED.search(text, a, b) and not any(a < e and s < b for _, s, e, _ in found)]
-        plain = text.isascii()
-        point = lambda at: at if plain else len(text[:at].decode())  # noqa: B023, E731
+        # A candidate overlaps no base span: of those that start before its end, none reaches into it.
+        found.sort(key=lambda x: x[1])
+        starts, reach = [s for _, s, _, _ in found], list(accumulate((e for _, _, e, _ in found), max))
+        for a, b in runs:
+            before = bisect_left(starts, b)
+            if not before or reach[before - 1] <= a:
+                found.append((3, a, b, a))
+        if text.isascii():
+            point = lambda at: at
+        else:
+            points = np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
+            point = lambda at: int(points[at])  # noqa: B023, E731
         out.append([{"kind": k, "start": point(s), "end": point(e), "value_start": point(v), "value": text[v:e].decode()} for k, s, e, v in sorted(found, key=lambda x: (x[1], x[0]))])
     return out
 
@@ -116,9 +124,11 @@ def count_pairs(texts: list[bytes]) -> np.ndarray:
     candidates, outside base spans."""
     blanked = []
     for text in texts:
-        for _, a, b, _ in base_spans(text):
-            text = text[:a] + b" " * (b - a) + text[b:]
-        blanked.append(text)
+        if spans := base_spans(text):
+            text = bytearray(text)
+            for _, a, b, _ in spans:
+                text[a:b] = b" " * (b - a)
+        blanked.append(bytes(text))
     codes = _CODES[np.frombuffer(b"\0".join([b"", *blanked, b""]), np.uint8)]
     inside = (codes != EDGE).view(np.int8)
     edges = np.flatnonzero(np.diff(inside, prepend=np.int8(0), append=np.int8(0)))
