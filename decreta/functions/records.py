@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decreta import constants as K
-from decreta.functions.dates import is_plausible_birth, is_valid_date, is_valid_day, normalize_date_text
+from decreta.functions.dates import is_plausible_day, is_valid_date, is_valid_day, normalize_date_text, to_dmy
 from decreta.functions.names import clean_person_name
 from decreta.functions.text import collapse, strip
 
@@ -29,27 +29,27 @@ def row_confidence(fio: Column, birth_raw: Column, sport: Column, rank: Column,
     return F.round(F.least(score / total, F.lit(1.0)), 2)
 
 
-def flag_rows(df: DataFrame, order_date: str = "order_date") -> DataFrame:
+def flag_rows(df: DataFrame, order_date: str = "order_date", birth: Column | None = None) -> DataFrame:
     """Review marks in ``extra_fields`` and the confidence cap for impossible dates.
 
-    Reads ``birth_date_raw``, ``confidence`` and ``extra_fields``.
+    Reads ``birth_date_raw``, ``confidence`` and ``extra_fields``. ``birth`` is the parsed
+    birth date where the caller has it.
     """
     raw = F.col("birth_date_raw")
-    has_birth = raw.isNotNull() & (raw != "")
-    invalid = has_birth & ~is_valid_date(raw)
-    odd = has_birth & (invalid | ~is_plausible_birth(raw, F.col(order_date)))
-    mark = lambda cond, key: F.when(
-        cond, F.create_map(F.lit(key), F.lit("true"))
-    ).otherwise(F.create_map().cast("map<string,string>"))
-    extra = F.coalesce(F.col("extra_fields"), F.create_map().cast("map<string,string>"))
-    keep = F.map_filter(extra, lambda k, _: ~k.isin("birth_date_suspicious"))
-    keep = F.when(odd, keep).otherwise(extra)
-    capped = F.when(invalid, F.least(F.col("confidence"), F.lit(0.6))).otherwise(F.col("confidence"))
-    review = (F.col("confidence") < 0.5) & ~F.map_contains_key(keep, "needs_review")
+    has_birth = F.coalesce(raw != "", F.lit(False))
+    born = to_dmy(raw) if birth is None else birth
+    invalid = has_birth & ~is_valid_day(born)
+    odd = has_birth & ~is_plausible_day(born, F.col(order_date))
+    none = F.create_map().cast("map<string,string>")
+    mark = lambda cond, key: F.when(cond, F.create_map(F.lit(key), F.lit("true"))).otherwise(none)
+    extra = F.coalesce(F.col("extra_fields"), none)
+    review = (F.col("confidence") < 0.5) & ~F.map_contains_key(extra, "needs_review")
+    others = F.map_filter(extra, lambda key, _: key != "birth_date_suspicious")
     return df.withColumns({
-        "extra_fields": F.map_concat(keep, mark(odd, "birth_date_suspicious"),
-                                     mark(review, "needs_review")),
-        "confidence": capped,
+        "extra_fields": F.when(odd | review, F.map_concat(
+            F.when(odd, others).otherwise(extra), mark(odd, "birth_date_suspicious"), mark(review, "needs_review"),
+        )).otherwise(extra),
+        "confidence": F.when(invalid, F.least(F.col("confidence"), F.lit(0.6))).otherwise(F.col("confidence")),
     })
 
 

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decreta import constants as K
-from decreta.functions.dates import is_plausible_day, is_valid_day, to_dmy
+from decreta.functions.dates import is_valid_day, to_dmy
 from decreta.functions.names import unglue_words
 from decreta.functions.ranks import normalize_rank, rank_in_text
-from decreta.functions.records import row_confidence
+from decreta.functions.records import flag_rows, row_confidence
 from decreta.functions.text import bind, strip, text_lines
 from decreta.operators.documents import split_pages
 from decreta.operators.ordering import keep_first
@@ -208,18 +208,12 @@ def first_context_sport(phrases: DataFrame, matches: DataFrame,
 
 
 def finish_table(rows: DataFrame) -> DataFrame:
-    """Confidence, rank and marks of table rows (reads ``order_date``)."""
-    born = F.col("birth_date")
-    odd = ~is_plausible_day(born, F.col("order_date"))
+    """Confidence and rank of table rows; ``post_process`` sets the marks."""
     scored = rows.withColumn("confidence", row_confidence(
-        F.col("fio"), F.col("birth_date_raw"), F.col("sport"), F.col("rank_text"), F.col("ias_id"), born))
+        F.col("fio"), F.col("birth_date_raw"), F.col("sport"), F.col("rank_text"), F.col("ias_id"), F.col("birth_date")))
     return scored.withColumns({
         "rank_category": F.coalesce(normalize_rank(F.col("rank_text")), F.lit("")),
-        "extra_fields": _extra(
-            parse_method=F.lit("rule_based"), submission_date=F.col("submission_date"),
-            birth_date_suspicious=F.when(odd, "true"),
-            needs_review=F.when(F.col("confidence") < 0.5, "true"),
-        ),
+        "extra_fields": _extra(parse_method=F.lit("rule_based"), submission_date=F.col("submission_date")),
     })
 
 
@@ -258,15 +252,4 @@ def post_process(rows: DataFrame) -> DataFrame:
                       [F.col("page_no"), F.col("line_no")]).drop("_birth")
     kept = once.filter(F.length("fio") >= 3).withColumn("fio", unglue_words(F.col("fio")))
     kept = kept.filter(~F.col("fio").rlike(K.GARBAGE_NAME))
-    raw, born = F.col("birth_date_raw"), F.col("birth_date")
-    given = F.coalesce(raw != "", F.lit(False))
-    invalid = given & ~is_valid_day(born)
-    odd = invalid | (given & F.col("order_date").isNotNull() & ~is_plausible_day(born, F.col("order_date")))
-    marked = F.map_concat(
-        F.map_filter("extra_fields", lambda k, _: k != "birth_date_suspicious"),
-        F.create_map(F.lit("birth_date_suspicious"), F.lit("true")),
-    )
-    return kept.withColumns({
-        "confidence": F.when(invalid, F.least("confidence", F.lit(0.6))).otherwise(F.col("confidence")),
-        "extra_fields": F.when(odd, marked).otherwise(F.col("extra_fields")),
-    })
+    return flag_rows(kept, birth=F.col("birth_date"))

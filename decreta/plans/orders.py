@@ -15,14 +15,16 @@ from decreta.operators.ordering import keep_first
 from decreta.operators.relational import join_known, url_policy
 from decreta.plans.extract import extract_assignments
 from decreta.plans.normalize import normalize_ranks, normalize_sports
-from decreta.session import broadcast_checked, staged
+from decreta.plans.steps import StepLog
+from decreta.session import broadcast_checked
 
 
 class Processed(NamedTuple):
     rows: DataFrame      # assignment rows of the orders that succeeded
     updates: DataFrame   # id, status and metadata of every order handled
-    log: DataFrame       # one entry per step
+    log: DataFrame       # one entry per order and step
     results: DataFrame   # one row per order: status, counts, error
+    steps: DataFrame     # one row per step of the run: rows counted, time taken
 
 
 def work_queue(orders: DataFrame, limit: int | None = None) -> DataFrame:
@@ -44,7 +46,12 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
     count as known, by default ``orders``. A failed order becomes
     an update and a log entry, never a failed job. ``force`` repeats work whose file is
     already stored.
+
+    The steps run over all orders at once, so the time of a step is the run's and is the
+    same for every order that went through it. Spark writes extracted and normalized rows
+    in one pass, whose time counts as extraction.
     """
+    steps = StepLog()
     codes = sources.select(F.col("id").alias("source_id"), F.col("code").alias("source_code"))
     # The order of the queue only matters where it is cut.
     waiting = work_queue(orders, limit) if limit else orders.filter(F.col("status").isin("new", "downloaded"))
@@ -73,7 +80,9 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         .when(~F.col("url_allowed"), F.concat(F.lit("URL заблокирован (SSRF): "), F.col("_url")))
         .when(F.col("text_length").isNull(), "Текст документа не получен")
     )
-    work = staged(work.withColumns({"_error": error, "_repeated": F.coalesce(repeated, F.lit(False))}), "work")
+    work = steps.write(
+        work.withColumns({"_error": error, "_repeated": F.coalesce(repeated, F.lit(False))}), "download",
+        failed=F.col("_error").isNotNull(), repeated=F.col("_error").isNull() & F.col("_repeated"))
 
     ready = work.filter(F.col("_error").isNull() & ~F.col("_repeated"))
     # The texts themselves join last, for the orders that will be read.
@@ -95,30 +104,31 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         named = normalize_sports(named, registry, aliases)
     else:
         named = named.withColumn("match_method", F.lit(None).cast("string"))
-    rows = staged(named, "rows")
+    is_matched = F.col("match_method").isNotNull() & (F.col("match_method") != "not_found")
+    rows = steps.write(named, "extract", matched=is_matched, unmatched=F.col("match_method") == "not_found")
 
     counts = rows.groupBy(F.col("doc_id").alias("id")).agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("match_method").isNotNull() & (F.col("match_method") != "not_found")).alias("matched"),
+        F.count_if(is_matched).alias("matched"),
         F.count_if(F.col("match_method") == "not_found").alias("unmatched"),
     )
     done = work.join(counts, "id", "left").na.fill(0, ["records", "matched", "unmatched"])
     failed_extract = "Извлечение не удалось (LLM и rule_extractor)"
     done = done.withColumn("error", F.coalesce(
         "_error", F.when(~F.col("_repeated") & (F.col("records") == 0), failed_extract)))
-    results = staged(done.select(
+    results = steps.write(done.select(
         "id", "source_id", "source_code", "order_number",
         F.when(F.col("error").isNotNull(), "failed").otherwise("extracted").alias("status"),
         F.col("_repeated").alias("skipped"), "stored_as", "records", "matched", "unmatched",
-        "text_length", "error",
+        "text_length", "error", F.col("_url").alias("url"),
         F.col("_hash").alias("file_hash"), F.col("_pages").alias("page_count"),
         F.col("_method").alias("ocr_method"), F.col("_conf").alias("ocr_confidence"),
-    ), "results")
+    ), "save", failed=F.col("error").isNotNull(), skipped=F.col("skipped"))
     updates = results.filter(~F.col("skipped")).select(
         "id", "status", "file_hash", "ocr_method", "ocr_confidence",
         F.col("page_count").cast("int").alias("page_count"), F.col("error").alias("error_message"),
     )
-    return Processed(_to_table(rows, as_of), updates, _log(results, as_of), results)
+    return Processed(_to_table(rows, as_of), updates, _log(results, steps, as_of), results, steps.frame(orders.sparkSession))
 
 
 def _rows_by_rules(docs: DataFrame, registry: DataFrame | None, aliases: DataFrame | None) -> DataFrame:
@@ -138,27 +148,49 @@ def _to_table(rows: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def _log(results: DataFrame, as_of: Column) -> DataFrame:
-    """Log entries of the batch; the stage of a failure is the step that failed."""
-    failed = (
-        F.when(F.col("error").startswith("Нет URL") | F.col("error").startswith("URL заблокирован"), "download")
-        .when(F.col("text_length").isNull(), "ocr").otherwise("extract")
-    )
-    stage = F.when(F.col("error").isNotNull(), failed).when(F.col("skipped"), "dedup").otherwise("save")
-    message = (
-        F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(F.col("skipped"), F.concat(F.lit("Файл уже обработан: "), F.coalesce("stored_as", F.lit(""))))
-        .otherwise(F.format_string("Сохранено %d записей из %d", "records", "records"))
-    )
-    return log_entries(results.select(
-        F.col("id").alias("order_id"), "source_id",
-        F.when(F.col("error").isNotNull(), "error").otherwise("info").alias("level"),
-        stage.alias("stage"), message.alias("message"),
-        F.create_map(F.lit("records"), F.col("records").cast("string"),
-                     F.lit("matched"), F.col("matched").cast("string"), F.lit("unmatched"), F.col("unmatched").cast("string"),
-                     F.lit("text_length"), F.coalesce(F.col("text_length"), F.lit(0)).cast("string")).alias("details"),
-        as_of.alias("created_at"),
+def _log(results: DataFrame, steps: StepLog, as_of: Column) -> DataFrame:
+    """Log entries of the batch: every step that an order reached, up to the one that failed.
+
+    ``details`` holds what the step found, and at the step that ran jobs of its own the
+    milliseconds it took for the whole batch.
+    """
+    error, lit = F.col("error"), F.lit
+    blocked = error.startswith("Нет URL") | error.startswith("URL заблокирован")
+    no_text, repeated = F.col("text_length").isNull(), F.col("skipped") & error.isNull()
+    no_rows = error.isNotNull() & ~repeated
+
+    def step(reached: Column, stage: str, failed: Column, message: Column, **details: Column) -> Column:
+        failed = F.coalesce(failed, lit(False))
+        pairs = [x for name, value in details.items() for x in (lit(name), value.cast("string"))]
+        found = F.map_filter(F.create_map(*pairs).cast("map<string,string>"), lambda _, v: v.isNotNull())
+        return F.when(F.coalesce(reached, lit(True)), F.struct(
+            lit(stage).alias("stage"), F.when(failed, "error").otherwise("info").alias("level"),
+            F.when(failed, error).otherwise(message).alias("message"), found.alias("details")))
+
+    time_of = lambda stage: lit(steps.duration(stage))
+    has_text = ~F.coalesce(blocked, lit(False))
+    is_new = has_text & ~no_text & ~repeated
+    is_read = is_new & error.isNull()
+    entries = F.array_compact(F.array(
+        step(lit(True), "download", blocked, F.concat(lit("Скачан: "), F.col("url")),
+             url=F.col("url"), duration_ms=time_of("download")),
+        step(has_text & repeated, "dedup", lit(False),
+             F.concat(lit("Файл уже обработан: "), F.coalesce("stored_as", lit("")))),
+        step(has_text & ~repeated, "ocr", no_text,
+             F.format_string("%s стр., %s символов, метод=%s", F.col("page_count").cast("string"),
+                             F.col("text_length").cast("string"), F.col("ocr_method")),
+             page_count=F.col("page_count"), text_length=F.col("text_length"), method=F.col("ocr_method"),
+             confidence=F.col("ocr_confidence")),
+        step(is_new, "extract", no_rows, F.format_string("Извлечено %d записей", "records"),
+             duration_ms=time_of("extract")),
+        step(is_read, "normalize", lit(False), F.format_string("Спорт: %d норм. / %d не найд.", "matched", "unmatched"),
+             matched=F.col("matched"), unmatched=F.col("unmatched")),
+        step(is_read, "save", lit(False), F.format_string("Сохранено %d записей из %d", "records", "records"),
+             records=F.col("records"), duration_ms=time_of("save")),
     ))
+    return log_entries(results.select(
+        F.col("id").alias("order_id"), "source_id", F.explode(entries).alias("_e"),
+    ).select("order_id", "source_id", "_e.level", "_e.stage", "_e.message", "_e.details", as_of.alias("created_at")))
 
 
 def log_entries(entries: DataFrame) -> DataFrame:

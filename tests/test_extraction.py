@@ -10,6 +10,7 @@ from decreta.operators import documents as Doc
 from decreta.operators import extraction as X
 from decreta.operators.matching import builtin_aliases
 from decreta.plans.extract import extract_assignments
+from decreta.plans.metrics import run_metrics
 from decreta.plans.orders import apply_processed, batch_summary, dry_run, process_orders
 
 TABLE = """Приложение к приказу
@@ -208,5 +209,16 @@ def test_process_orders_end_to_end(spark, registry):
     assert new_rows.count() == 3 and new_rows.first().sport_id is not None
     assert tuple(batch_summary(done.results).first()) == (3, 3, 3)
     assert done.log.filter("level = 'error'").count() == 3
+    stages = {}
+    for r in done.log.collect():
+        stages.setdefault(r.order_id, {})[r.stage] = r
+    assert set(stages["o1"]) == {"download", "ocr", "extract", "normalize", "save"} and set(stages["o6"]) == {"download", "dedup"}
+    assert set(stages["o2"]) == set(stages["o3"]) == {"download"} and stages["o4"]["extract"].level == "error"
+    assert stages["o1"]["normalize"].details["matched"] == "3" and int(stages["o1"]["save"].details["duration_ms"]) >= 0
+    steps = {r.stage: r for r in done.steps.collect()}
+    assert steps["download"].counts == {"rows": 6, "failed": 2, "repeated": 2} and steps["extract"].counts["rows"] == 3
+    assert steps["save"].counts["failed"] == 3 and steps["extract"].duration_ms > 0
+    metrics = {r.order_id: r for r in run_metrics(done.log).collect()}
+    assert (metrics["o1"].steps, metrics["o1"].records, metrics["o1"].matched) == (5, 3, 3) and metrics["o2"].failed_steps == 1
     rows, summary = dry_run(docs(spark, {"t": TABLE, "x": "a" * 60}))
     assert rows.count() == 3 and {r.doc_id: r.records for r in summary.collect()} == {"t": 3, "x": 0}
