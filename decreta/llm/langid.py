@@ -138,20 +138,38 @@ class Model:
         return out
 
 
+def _hash_bound(rows: int, wanted: int) -> int:
+    """The 64-bit hash at or below which about ``wanted`` of ``rows`` lie."""
+    return (1 << 63) - 1 if wanted >= rows else (1 << 64) * wanted // rows - (1 << 63)
+
+
 def train_languages(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE):
-    """Trees from at most ``sample`` whole documents of each language (``doc_id, text,
-    lang``, the rows to learn from), chosen by a hash of their id; ``None`` without any."""
+    """Trees from at most ``sample`` rows of each language (``doc_id, text, lang``, the
+    rows to learn from), chosen by a hash of their id; ``None`` without any.
+
+    The number of rows of each language, known from that column alone, says below which
+    hash the sample lies, so that only about twice the sample is shuffled and ranked,
+    however many rows or partitions there are. Where most texts of a language are null,
+    its sample is smaller.
+    """
     spark = docs.sparkSession
-    sound = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = sound.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample).select("doc_id", "lang").distinct()
+    known = docs.filter("lang IS NOT NULL")
+    rows_of = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not rows_of:
+        return None
+    below = F.create_map(*[x for name, n in rows_of.items() for x in (F.lit(name), F.lit(_hash_bound(n, 2 * sample + 100)))])
+    hashed = F.xxhash64(F.col("doc_id").cast("long"))
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    chosen = known.filter((hashed <= F.element_at(below, F.col("lang"))) & F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", "text", hashed.alias("hash")).withColumn(
+        "rank", F.row_number().over(order)).filter(F.col("rank") <= sample)
 
     def count(key, table):
-        # Whole documents: at most ``sample`` of them, repeated rows aside.
+        # Whole documents, at most ``sample`` of them.
         codes, counts = np.unique(_grams([t.encode() for t in table.column("text").to_pylist()])[0], return_counts=True)
         return pa.table({"lang": [key[0].as_py()], "codes": [codes.tobytes()], "counts": [counts.astype(np.int64).tobytes()]})
 
-    found = sound.join(chosen, ["doc_id", "lang"]).groupBy("lang").applyInArrow(count, "lang string, codes binary, counts binary").collect()
+    found = chosen.select("lang", "text").groupBy("lang").applyInArrow(count, "lang string, codes binary, counts binary").collect()
     if not found:
         return None
     trees = {r["lang"]: Tree(np.frombuffer(r["codes"], np.uint32), np.frombuffer(r["counts"], np.int64).astype(float)) for r in found}

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from decreta.llm.batches import column, record
 from decreta.llm.components import components
@@ -183,12 +183,17 @@ def near_vectors(rows: DataFrame, min_cosine: float = MIN_COSINE, step: float =
     """Near-duplicate groups of ``rows`` (``vec_id, embedding, label``).
 
     Vectors link at a cosine of ``min_cosine`` or more, in double precision, if their
-    labels are equal and not null and they have as many components. Null and zero vectors
+    labels are equal and not null and they have as many components. A label that is no
+    whole number is compared by the 64-bit hash of its text. Null and zero vectors
     and those with null or non-finite components link with nothing. One row per row:
     ``vec_id, n_links`` (other rows linked directly, equal ones included), ``component_id``
     (smallest vec_id that links reach, itself included), ``kept`` (whether it is that one).
     """
     schema = "vec_id long, label long, vector binary"
+    # Whole numbers stand for themselves, labels of any other type for their hash.
+    label = F.col("label")
+    whole = isinstance(rows.schema["label"].dataType, IntegralType)
+    label = label.cast("long") if whole else F.when(label.isNotNull(), F.xxhash64(label.cast("string")))
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def clean(batches):
@@ -197,7 +202,7 @@ def near_vectors(rows: DataFrame, min_cosine: float = MIN_COSINE, step: float =
                 part = batch.slice(at, ROWS)
                 yield record({"vec_id": column(part, "vec_id"), "label": column(part, "label"), "vector": _clean(column(part, "embedding"))}, out)
 
-    read = staged(rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding").mapInArrow(clean, schema)
+    read = staged(rows.select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), "embedding").mapInArrow(clean, schema)
                   .withColumn("node", F.when(F.col("label").isNotNull() & F.col("vector").isNotNull(), F.xxhash64("label", "vector"))), "vectors")
     sound = read.filter("node IS NOT NULL")
     classes = staged(sound.groupBy("node").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"),

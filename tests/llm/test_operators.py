@@ -60,6 +60,8 @@ def test_near_vectors(spark):
     for block in (1024, 7):
         assert sorted_rows(vectors.near_vectors(df, block=block)) == sorted(expected, key=lambda r: tuple((x is None, str(x)) for x in r))
     assert vectors.near_vectors(df.limit(0)).count() == 0
+    named = df.withColumn("label", F.concat(F.lit("kind "), F.col("label").cast("string")))
+    assert sorted_rows(vectors.near_vectors(named)) == sorted_rows(vectors.near_vectors(df))
 
 
 def test_simhash_edges(spark, edges, nothing):
@@ -192,6 +194,7 @@ def test_languages(spark, edges, nothing):
     assert len(got) == len(edge_rows()) and all(0 <= r.score <= 1 for r in got)
     assert {r.doc_id for r in got if r.lang_pred == "und"} == {6, 7, 8, 14, None}
     assert {r.lang_pred for r in got} <= {"en", "fr", "und"} and texts[6] is None
+    assert langid.train_languages(edges.withColumn("text", F.lit(None).cast("string"))) is None
     assert langid.train_languages(nothing) is None
     assert {(r.lang_pred, r.score) for r in langid.predict_languages(edges, None).collect()} == {("und", 0.0)}
     assert langid.predict_languages(nothing, None).count() == 0
@@ -280,3 +283,15 @@ def test_pipeline(spark, edges, nothing, tmp_path):
     nothing.select(docs.columns).write.parquet(f"{folder}/none/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{folder}/none").count() == 0
+
+
+def test_language_sample_is_the_lowest_hashes(spark):
+    """A sample far below the rows of a language holds just the rows with the lowest hashes."""
+    docs = spark.range(5_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 5 == 0, "b").otherwise("a").alias("lang"),
+        F.concat(F.col("lang"), F.col("id").cast("string")).alias("text")).repartition(7)
+    trees = langid.train_languages(docs, sample=30).value
+    for name, tree in zip(trees.names, trees.trees):
+        best = docs.filter(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(30).collect()
+        grams, counts = np.unique(langid._grams([r.text.encode() for r in best])[0], return_counts=True)
+        assert np.array_equal(tree.levels[0]["grams"], grams) and np.array_equal(tree.levels[0]["counts"], counts)
