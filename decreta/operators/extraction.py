@@ -15,8 +15,7 @@ from decreta.functions.dates import is_valid_day, to_dmy
 from decreta.functions.names import unglue_words
 from decreta.functions.ranks import normalize_rank, rank_in_text
 from decreta.functions.records import flag_rows, row_confidence
-from decreta.functions.text import bind, strip, text_lines
-from decreta.operators.documents import split_pages
+from decreta.functions.text import bind, strip, text_lines, text_pages
 from decreta.operators.ordering import keep_first
 
 _SEP = "\x01"
@@ -45,29 +44,33 @@ def _row_parts(line: Column) -> Column:
         F.split(marked, _SEP), lambda parts: F.when(F.size(parts) == 6, parts)))
 
 
-def typed_lines(docs: DataFrame) -> DataFrame:
-    """Lines of all documents with their kind and, for data rows, their fields.
+def typed_line_array(text: Column) -> Column:
+    """Lines of a (cleaned) text in order as an array of structs: ``page_no, line_no, line,
+    parts`` (fields of a data row), ``kind, section_row, heading_candidate``.
 
-    Reads ``doc_id, text`` (cleaned). Kinds: ``lead`` (header or list title), ``skip``
-    (column numbers, footers), ``row``, ``text``. Fields are found inside the generator,
-    so that later filters on them do not run the patterns a second time.
+    Kinds: ``lead`` (header or list title), ``skip`` (column numbers, footers), ``row``,
+    ``text``. Every pattern runs once a line.
     """
-    pages = split_pages(docs, "doc_id", "text")
-    parsed = F.transform(text_lines(F.col("page_text")), lambda x: F.struct(
-        x.alias("line"), _row_parts(x).alias("parts")))
-    lines = pages.select("doc_id", "page_no", F.posexplode(parsed).alias("line_no", "_l")).select(
-        "doc_id", "page_no", "line_no", "_l.line", "_l.parts").filter(F.col("line") != "")
-    line = F.col("line")
-    header, numbers = line.rlike(K.TABLE_HEADER), line.rlike(K.COLUMN_NUMBERS)
-    lead = line.startswith(K.LEAD_LINES[0]) | line.startswith(K.LEAD_LINES[1])
-    is_row = F.col("parts").isNotNull()
-    return lines.withColumns({"_header": header, "_numbers": numbers}).withColumns({
-        "kind": F.when(F.col("_header"), "lead").when(F.col("_numbers"), "skip")
-                 .when(line.rlike(K.PAGE_FOOTER_LINE), "skip").when(lead, "lead")
-                 .when(is_row, "row").otherwise("text"),
-        "section_row": ~F.col("_header") & ~F.col("_numbers") & is_row,
-        "heading_candidate": ~F.col("_header") & ~F.col("_numbers") & ~line.rlike(K.ROW_NUMBER),
-    }).drop("_header", "_numbers")
+    def read(page: Column, page_no: Column) -> Column:
+        return F.transform(text_lines(page), lambda line, at: F.struct(
+            (page_no + 1).alias("page_no"), at.alias("line_no"), line.alias("line"), _row_parts(line).alias("parts"),
+            line.rlike(K.TABLE_HEADER).alias("header"), line.rlike(K.COLUMN_NUMBERS).alias("numbers")))
+
+    def typed(x: Column) -> Column:
+        line, is_row, plain = x["line"], x["parts"].isNotNull(), ~x["header"] & ~x["numbers"]
+        lead = line.startswith(K.LEAD_LINES[0]) | line.startswith(K.LEAD_LINES[1])
+        kind = (F.when(x["header"], "lead").when(x["numbers"], "skip").when(line.rlike(K.PAGE_FOOTER_LINE), "skip")
+                .when(lead, "lead").when(is_row, "row").otherwise("text"))
+        return F.struct(*[x[c].alias(c) for c in ("page_no", "line_no", "line", "parts")], kind.alias("kind"),
+                        (plain & is_row).alias("section_row"), (plain & ~line.rlike(K.ROW_NUMBER)).alias("heading_candidate"))
+
+    lines = F.filter(F.flatten(F.transform(text_pages(text), read)), lambda x: x["line"] != "")
+    return F.transform(lines, typed)
+
+
+def typed_lines(docs: DataFrame) -> DataFrame:
+    """Lines of all documents (``doc_id, text``, cleaned) as rows of ``typed_line_array``."""
+    return docs.select("doc_id", F.inline(typed_line_array(F.col("text"))))
 
 
 def with_birth_date(rows: DataFrame) -> DataFrame:
@@ -176,16 +179,17 @@ def section_rows(lines: DataFrame, headings: DataFrame | None) -> DataFrame:
     )
 
 
-def free_entries(docs: DataFrame) -> DataFrame:
-    """Free-text layout: name, birth date and the text up to the next person."""
-    hits = F.regexp_extract_all(F.col("text"), F.lit(K.FREE_ENTRY), F.lit(0))
-    entry = docs.select("doc_id", F.posexplode(hits).alias("line_no", "_e"))
+def free_entry_array(text: Column) -> Column:
+    """Free-text layout: name, birth date and the text up to the next person, in order."""
     whole = r"(?sU)^" + K.FREE_HEAD + r"(.+)$"
-    group = lambda i: F.regexp_extract("_e", whole, i)
-    return entry.select(
-        "doc_id", F.lit(1).alias("page_no"), "line_no",
-        strip(group(1)).alias("fio"), group(2).alias("birth_date_raw"), strip(group(3)).alias("context"),
-    )
+    return F.transform(F.regexp_extract_all(text, F.lit(K.FREE_ENTRY), F.lit(0)), lambda entry, at: F.struct(
+        F.lit(1).alias("page_no"), at.alias("line_no"), strip(F.regexp_extract(entry, whole, 1)).alias("fio"),
+        F.regexp_extract(entry, whole, 2).alias("birth_date_raw"), strip(F.regexp_extract(entry, whole, 3)).alias("context")))
+
+
+def free_entries(docs: DataFrame) -> DataFrame:
+    """Entries of all documents (``doc_id, text``) as rows of ``free_entry_array``."""
+    return docs.select("doc_id", F.inline(free_entry_array(F.col("text"))))
 
 
 def context_phrases(entries: DataFrame) -> DataFrame:
