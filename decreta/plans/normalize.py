@@ -51,3 +51,18 @@ def rank_attributes(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     """Category and sort order of a row's rank; null for ranks outside the table."""
     dim = ranks.select(F.col("name").alias("rank_category"), F.col("category").alias("rank_group"), "rank_order")
     return rows.join(broadcast_checked(dim), "rank_category", "left")
+
+
+def dictionary_codes(rows: DataFrame, dictionary: DataFrame, name: str, on: str) -> DataFrame:
+    """Code and basis of a position or title named in ``name``, as in force on day ``on``.
+
+    Null for names outside the dictionary, before it took effect or after it ended; case
+    and white space around the name do not count.
+    """
+    dim = dictionary.select(
+        F.lower(strip(F.col("name"))).alias("_entry"), F.col("code").alias("dictionary_code"),
+        F.col("source_doc").alias("dictionary_basis"), F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"))
+    day = F.col(on)
+    in_force = (F.lower(strip(F.col(name))) == F.col("_entry")) & (day >= F.col("_from")) & (
+        F.col("_to").isNull() | (day < F.col("_to")))
+    return rows.join(broadcast_checked(dim), in_force, "left").drop("_entry", "_from", "_to")

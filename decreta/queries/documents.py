@@ -235,6 +235,27 @@ def normalize_sports_and_ranks(spark, d):
     return out.select("doc_id", "i", "sport", "sport_original", "match_method", "match_confidence", "rank_category", "rank_category_original")
 
 
+# Written name, stored name, how it is found.
+_SPELLINGS = [
+    ("Бокс", "Бокс", "exact"), ("дзюдо", "Дзюдо", "case_norm"), ("Спортиваня акробатика", "Спортивная акробатика", "alias"),
+    ("Автомобильный спортт", "Автомобильный спорт", "fuzzy"), ("Неведомое дело", None, "not_found"),
+]
+
+
+@query("normalize_sport_spellings", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, " + ", ".join(
+    "CASE CAST(l_partkey AS BIGINT) % 5 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v) + f" END AS {name}"
+    for name, values in (("sport", [s[1] or s[0] for s in _SPELLINGS]), ("sport_original", [s[0] if s[1] and s[1] != s[0] else None for s in _SPELLINGS]),
+                         ("match_method", [s[2] for s in _SPELLINGS]))) + " FROM lineitem")
+def normalize_sport_spellings(spark, d):
+    """Sports of all rows in five spellings: exact, other case, alias, misspelt, unknown."""
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.element_at(F.array(*[F.lit(s[0]) for s in _SPELLINGS]), (F.col("l_partkey") % 5 + 1).cast("int")).alias("sport"),
+        F.lit(None).cast("string").alias("sport_original"))
+    out = normalize_sports(rows, corpus.sport_registry(spark), builtin_aliases(spark))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "sport", "sport_original", "match_method")
+
+
 _QUEUE = """q AS (
   SELECT o_orderkey AS id, o_orderkey % 3 AS source_id, url, n.records, n.matched, CASE WHEN url IS NULL THEN 'Нет URL для скачивания'
     WHEN url LIKE '%elsewhere%' THEN 'URL заблокирован (SSRF): ' || url WHEN n.records IS NULL THEN 'Текст документа не получен' END AS error

@@ -17,7 +17,7 @@ from decreta.functions.similarity import token_sort_score, trigrams
 from decreta.operators import documents as Doc
 from decreta.operators import links as Links
 from decreta.operators.relational import url_policy
-from decreta.plans.normalize import rank_attributes
+from decreta.plans.normalize import dictionary_codes, rank_attributes
 from decreta.queries.model import table
 from decreta.session import shared_folder
 from decreta.sources.documents import admit_documents, read_documents, with_file_hash
@@ -220,6 +220,25 @@ def rank_attributes_query(spark, d):
         F.count(F.lit(1)).alias("n"))
 
 
+_ENTRIES = [name for _, name in K.SPECIALIST_POSITIONS + K.HONORARY_TITLES] + ["прочее"]
+_ENTRY_CODES = [code for code, _ in K.SPECIALIST_POSITIONS + K.HONORARY_TITLES] + [""]
+
+
+@query("dictionary_codes", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, entry, CASE WHEN since <= day THEN NULLIF(code, '') END AS dictionary_code FROM (SELECT *, "
+       + sql_pick(_ENTRIES, "l_partkey") + " AS entry, " + sql_pick(_ENTRY_CODES, "l_partkey") + f""" AS code,
+  CAST(l_shipdate + INTERVAL 30 YEAR AS DATE) AS day, CASE WHEN l_partkey % {len(_ENTRIES)} < {len(K.SPECIALIST_POSITIONS)}
+    THEN DATE '{K.DICTIONARY_BASIS["specialist_positions"][1]}' ELSE DATE '{K.DICTIONARY_BASIS["honorary_titles"][1]}' END AS since FROM lineitem)""")
+def dictionary_codes_query(spark, d):
+    """Positions and titles of every row against both dictionaries, by the day of the row."""
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", pick(_ENTRIES, "l_partkey").alias("entry"),
+        F.concat(F.lit(" "), F.upper(pick(_ENTRIES, "l_partkey"))).alias("_written"),
+        F.add_months(F.col("l_shipdate").cast("date"), 360).alias("_day"))
+    both = reference_dim(spark, "specialist_positions").unionByName(reference_dim(spark, "honorary_titles"))
+    return dictionary_codes(rows, both, "_written", "_day").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "entry", "dictionary_code")
+
+
 # --- keys and names ---------------------------------------------------------------------
 _SURNAMES = ["Иванов", "Петрова", "Ёлкина", "Харуца", "Суликов"]
 
