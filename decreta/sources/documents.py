@@ -20,6 +20,24 @@ def read_documents(spark: SparkSession, path: str, glob: str = "*.pdf",
     return files.filter(F.col("length") <= max_bytes) if max_bytes else files
 
 
+def land_documents(df: DataFrame, folder: str, path: str = "path", content: str = "content") -> None:
+    """Land document files packed: rows of ``path, length, modificationTime, content``, as
+    :func:`read_documents` gives them, many to a Parquet file.
+
+    A folder with a file for each document costs the driver a rename and a listing for
+    each; packed, the number of files follows the number of tasks.
+    """
+    c = F.col(content)
+    df.select(F.col(path).cast("string").alias("path"), F.octet_length(c).cast("bigint").alias("length"),
+              F.current_timestamp().alias("modificationTime"), c.alias("content")).write.parquet(folder)
+
+
+def read_landed(spark: SparkSession, folder: str, max_bytes: int | None = None) -> DataFrame:
+    """Document files as :func:`land_documents` packed them; with a size limit, those up to it."""
+    files = spark.read.schema("path string, length bigint, modificationTime timestamp, content binary").parquet(folder)
+    return files.filter(F.col("length") <= max_bytes) if max_bytes else files
+
+
 def with_file_hash(df: DataFrame, column: str = "content") -> DataFrame:
     """SHA-256 of the bytes and the short names made of its prefix."""
     digest = F.sha2(F.col(column), 256)
