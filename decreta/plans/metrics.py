@@ -156,7 +156,8 @@ def latest_quality(quality: DataFrame, sources: DataFrame) -> DataFrame:
 
 # --- operational -----------------------------------------------------------------------
 def daily_throughput(orders: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
-    """Per day of extraction: orders, pages, mean pages, mean confidence; newest first."""
+    """Per day of extraction: orders, pages, mean pages, mean confidence; the ``days``
+    newest days, newest first (a span of days from noon to noon touches one more)."""
     return (
         orders.filter(within_last("extracted_at", as_of, f"{days} DAYS"))
         .groupBy(F.to_date("extracted_at").alias("dt"))
@@ -164,7 +165,7 @@ def daily_throughput(orders: DataFrame, as_of: Column, days: int = 30) -> DataFr
             F.count(F.lit(1)).alias("orders_processed"), F.sum("page_count").alias("pages_total"),
             F.avg("page_count").alias("avg_pages"), F.avg("ocr_confidence").alias("avg_confidence"),
         )
-        .orderBy(F.col("dt").desc())
+        .orderBy(F.col("dt").desc()).limit(days)
     )
 
 
