@@ -88,13 +88,15 @@ def _quoted_position(html: Column, href: Column) -> Column:
     return F.coalesce(*spots, F.greatest(F.position(href, html), F.lit(1)))
 
 
-def group_attachments(links: DataFrame) -> DataFrame:
+def group_attachments(links: DataFrame, *tie: Column) -> DataFrame:
     """First link of a page is the main document, the others its numbered attachments.
 
     Reads ``page_url, pos, url`` as made by :func:`extract_links`, where positions are
-    already dense per page. A window holds no more than the links of one page.
+    already dense per page. A window holds no more than the links of one page. Pages that
+    share a URL are one group, whose main document is the first link of the page that
+    comes first in ``tie``.
     """
-    of_page = Window.partitionBy("page_url").orderBy("pos")
+    of_page = Window.partitionBy("page_url").orderBy("pos", *tie)
     further = F.col("pos") > 0
     return links.withColumn("_main", F.first("url").over(of_page)).select(
         "page_url", "url", F.when(further, F.col("_main")).alias("parent_url"),

@@ -447,7 +447,7 @@ def document_links(spark, d):
 @query("link_groups", "WITH " + _LINKS_SQL + """
 SELECT page_url, url, CASE WHEN pos > 0 THEN first_value(url) OVER (PARTITION BY page_url ORDER BY pos) END AS parent_url, CASE WHEN pos > 0 THEN pos END AS attachment_num FROM lk""")
 def link_groups(spark, d):
-    return Links.group_attachments(_links(spark, d))
+    return Links.group_attachments(_links(spark, d), F.col("page_id"))
 
 
 @query("new_links", "WITH " + _LINKS_SQL + """,
