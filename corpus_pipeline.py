@@ -24,7 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays. Golay keys of
+    SimHash fingerprints and min-hash bands propose pairs, shingle sets at 0.8 decide."""
     return drop_near_copies(docs)
 
 

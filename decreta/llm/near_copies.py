@@ -1,9 +1,10 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Texts with equal sets are one class. Classes meet in bands of a min-hash signature; each
-pair that meets is compared by its whole sets, unless links found before join it already
+Texts with equal sets are one class. Classes meet by the Golay keys of their SimHash
+fingerprints, at two bits or fewer, and in bands of a min-hash signature, as pairs at the
+threshold may differ in more bits; each pair that meets in a band is compared by its whole sets, unless links found before join it already
 or the signatures agree in too few places. A pair at the threshold is missed with
-probability 1e-5. Each bucket is first compared with one member, its pivot, in as many
+probability 1e-5. All Golay pairs are compared. Each bucket is first compared with one member, its pivot, in as many
 rows as it has members. What the pivots leave apart is compared in blocks of bounded size.
 """
 
@@ -20,11 +21,13 @@ from pyspark.sql.types import StructType
 
 from decreta.llm.batches import column, map_batches, raw, record
 from decreta.llm.components import components
-from decreta.llm.simhash import keep_least
+from decreta.llm.simhash import fingerprints_of, hamming_links, keep_least
 from decreta.session import broadcast_checked, staged
 
 # Words of a shingle and least similarity of near copies.
 WORDS, SIMILARITY = 5, 0.8
+# Bits in which the fingerprints of pairs proposed by Golay keys may differ.
+MAX_BITS = 2
 # Bands of a signature and values in each: a pair at 0.8 shares no band with probability
 # (1 - 0.8 ** 5) ** 30 = 6.6e-6.
 BANDS, BAND_ROWS = 30, 5
@@ -69,16 +72,17 @@ def _signed(value: int) -> int:
 
 
 def _prints(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, row, node, signature`` of every row; ``node`` hashes the set, ``row`` the
-    text. Texts without words have no signature."""
+    """``doc_id, row, fp, node, signature`` of every row; ``fp`` is its SimHash, ``node``
+    hashes the set, ``row`` the text. Texts without words have no signature."""
     def fn(batch):
-        sets = [shingles_of(x, words) for x in raw(batch)]
-        return {"doc_id": column(batch, "doc_id"), "row": column(batch, "row"),
+        texts = raw(batch)
+        sets = [shingles_of(x, words) for x in texts]
+        return {"doc_id": column(batch, "doc_id"), "row": column(batch, "row"), "fp": fingerprints_of(texts).view(np.int64),
                 "node": [_signed(xxhash.xxh64_intdigest(s.tobytes())) for s in sets],
                 "signature": [signature_of(s).tobytes() if len(s) else None for s in sets]}
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    return map_batches(rows, fn, "doc_id long, row long, node long, signature binary")
+    return map_batches(rows, fn, "doc_id long, row long, fp long, node long, signature binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -166,25 +170,47 @@ def _apart(members: DataFrame, sets: DataFrame, links: DataFrame, similarity: fl
     return within.unionByName(between).mapInArrow(run, "a long, b long")
 
 
-def near_copy_links(docs: DataFrame, classes: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``a, b``: links that connect all classes at the similarity or above."""
+def near_copy_links(docs: DataFrame, classes: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
+                    golay: DataFrame | None = None) -> DataFrame:
+    """``a, b``: links that connect all classes at the similarity or above; ``golay`` has
+    pairs (``a, b``) to be compared besides those of the bands."""
     keys = staged(_bands(classes), "bands")
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = staged(keys.join(sizes, "key"), "buckets")
-    sets = staged(_sets(docs, members.select("node").distinct(), classes, words), "sets")
+    nodes = members.select("node")
+    if golay is not None:
+        nodes = nodes.union(golay.select("a")).union(golay.select("b"))
+    sets = staged(_sets(docs, nodes.distinct(), classes, words), "sets")
     # The pivot is the member that meets most others in all its buckets.
     weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
     pivots = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("p")).select("key", F.col("p.node").alias("a"))
-    pairs = staged(members.join(pivots, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    pairs = members.join(pivots, "key").filter("node <> a").select("a", F.col("node").alias("b"))
+    if golay is not None:
+        pairs = pairs.unionByName(golay)
+    pairs = staged(pairs.distinct(), "pairs")
     links = staged(_verified(pairs, sets, similarity), "near")
     return links.unionByName(_apart(members, sets, links, similarity))
 
 
-def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def _golay_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``a, b``: pairs of nodes that connect all whose SimHash fingerprints differ in
+    ``max_bits`` or fewer, found by Golay keys. The smallest node of a fingerprint stands
+    for it towards other fingerprints."""
+    nodes = staged(prints.filter("signature is not null").select("fp", "node").distinct(), "fingerprints")
+    least = staged(nodes.groupBy("fp").agg(F.min("node").alias("least")), "fingerprint-classes")
+    same = nodes.join(least, "fp").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    end = lambda name: least.select(F.col("fp").alias(name), F.col("least").alias(f"_{name}"))
+    near = hamming_links(least.select("fp"), max_bits).join(end("a"), "a").join(end("b"), "b")
+    return same.unionByName(near.select(F.col("_a").alias("a"), F.col("_b").alias("b"))).filter("a <> b")
+
+
+def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
+                     max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each group of near copies and all its columns, as
     ``keep_least`` picks it. Null texts and texts without words are copies of each other."""
     prints = staged(_prints(docs, words), "shingles")
     classes = staged(prints.groupBy("node").agg(F.min(F.struct("row", "signature")).alias("r")).select("node", "r.row", "r.signature"), "classes")
-    found = components(near_copy_links(docs, classes, words, similarity))
+    golay = staged(_golay_pairs(prints, max_bits), "golay-pairs")
+    found = components(near_copy_links(docs, classes, words, similarity, golay))
     grouped = prints.select("doc_id", "row", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return keep_least(docs, grouped)
