@@ -10,7 +10,7 @@ from decreta.functions.ranks import canonical_rank
 from decreta.functions.text import strip
 from decreta.operators.relational import join_known
 from decreta.operators.matching import match_names
-from decreta.session import broadcast_checked
+from decreta.session import broadcast_checked, staged
 
 
 def normalize_sports(rows: DataFrame, registry: DataFrame, aliases: DataFrame,
@@ -21,12 +21,13 @@ def normalize_sports(rows: DataFrame, registry: DataFrame, aliases: DataFrame,
     number of distinct spellings, not of rows. A row without a sport is left alone.
     """
     names = rows.select(F.col("sport").alias("name"))
-    found = match_names(names, registry, aliases, threshold, scorer).select(
+    found = staged(match_names(names, registry, aliases, threshold, scorer), "matches").select(
         F.col("input_name").alias("_name"), F.col("canonical_name").alias("_canonical"),
         F.col("sport_id").alias("_sport_id"), F.col("method").alias("match_method"),
         F.col("confidence").alias("match_confidence"), F.col("alternatives").alias("match_alternatives"),
     )
-    joined = join_known(rows.withColumn("_name", strip(F.col("sport"))), found, "_name")
+    # Few names stand in very many rows: dealt by name, one task would get them all.
+    joined = join_known(rows.withColumn("_name", strip(F.col("sport"))), broadcast_checked(found), "_name")
     changed = F.col("_canonical").isNotNull() & (F.col("_canonical") != F.col("sport"))
     return joined.withColumns({
         "sport_original": F.when(changed, F.coalesce("sport_original", "sport")).otherwise(F.col("sport_original")),
