@@ -142,8 +142,14 @@ ROW_WITH_ID = (
 )
 ROW_NUMBER = r"(?U)^\s*\d{1,4}\s+"
 TABLE_HEADER = r"(?iuU)(?:№\s+ФИО|№\s+п/?п\s+ФИО|Фамилия.*Имя.*Отчество)"
+# Every header line has one of these in either case.
+HEADER_LETTERS = ("№", "ф")
 COLUMN_NUMBERS = r"(?U)^\d(\s+\d){2,}$"
 PAGE_FOOTER_LINE = r"(?iuU)(?:Документ\s+зарегистрирован|Страница\s+\d+\s+из\s+\d+)"
+# A footer line has, in either case, all letters of one of these sets. None of them has a
+# third form that the pattern would accept.
+FOOTER_LETTERS = ("гзм", "ц")
+PAGE_FOOTER_START = "Документ"
 PAGE_FOOTER_BLOCK = (
     r"(?U)Документ\s+зарегистрирован[^\n]*\nСтраница\s+\d+\s+из\s+\d+[^\n]*\n?"
 )

@@ -50,7 +50,8 @@ def birth_year_suspicious(birth: Column, order_date: Column) -> Column:
 
 def normalize_date_text(c: Column) -> Column:
     """Date text as ``DD.MM.YYYY``: trailing year mark dropped, either order accepted."""
-    bare = strip(F.regexp_replace(strip(c), r"(?U)\s*г\.$", ""))
+    text = strip(c)
+    bare = F.when(text.endswith("г."), strip(F.left(text, F.length(text) - 2))).otherwise(text)
     dotted = F.translate(bare, "-/", "..")
     return (
         F.when(dotted.rlike(r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}$"), dotted)

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from decreta import constants as K
 from decreta.functions.text import collapse, strip
 
 
 def clean_person_name(c: Column) -> Column:
     """Drop punctuation at both ends and collapse inner spaces."""
-    bare = F.regexp_replace(strip(c), r"(?U)^[\-.,;:]+\s*", "")
-    bare = F.regexp_replace(bare, r"(?U)\s*[\-.,;:]+$", "")
+    # Trims of fixed sets instead of two patterns: the end of the text is stripped, so that
+    # white space is only met behind or before the punctuation.
+    marks, white = F.lit("-.,;:"), F.lit(K.WHITESPACE)
+    bare = F.ltrim(F.ltrim(strip(c), marks), white)
+    bare = F.rtrim(F.rtrim(bare, marks), white)
     return F.coalesce(strip(collapse(bare)), F.lit(""))
 
 

@@ -29,8 +29,8 @@ def strip(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    """Every run of white space becomes one space."""
-    return F.regexp_replace(c, f"(?U){_WS}+", " ")
+    """Every run of white space becomes one space. Runs that are one already are skipped."""
+    return F.regexp_replace(c, rf"(?U)[\s\x1c-\x1f&&[^ ]]{_WS}*| {_WS}+", " ")
 
 
 def clean_text(c: Column) -> Column:
@@ -124,8 +124,9 @@ def readability(c: Column) -> Column:
 
 def text_pages(c: Column) -> Column:
     """Pages of a document: the text between registration footers, blank pages dropped."""
-    parts = F.transform(F.split(c, K.PAGE_FOOTER_BLOCK, -1), strip)
-    return F.filter(parts, lambda p: p != "")
+    # A split compiles its pattern for every text, so only texts with a footer are split.
+    pages = F.when(c.contains(K.PAGE_FOOTER_START), F.split(c, K.PAGE_FOOTER_BLOCK, -1)).when(c.isNotNull(), F.array(c))
+    return F.filter(F.transform(pages, strip), lambda p: p != "")
 
 
 def text_lines(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from decreta import constants as K
 from decreta.functions.text import (
-    readable_chars, readable_ratio, render_template, strip, text_lines, text_pages,
+    bind, readable_chars, readable_ratio, render_template, strip, text_lines, text_pages,
 )
 from decreta.functions.records import coerce_assignment
 from decreta.schemas import RESPONSE_ITEM
@@ -84,25 +84,23 @@ def parse_json_response(df: DataFrame, key: Sequence[str], response: str) -> tup
     coerces every item; a response that is no array or an item that misses a required
     field becomes a reject row.
     """
-    body = F.regexp_extract(response, r"(?s)\[.*\]", 0)
-    parsed = df.select(
-        *key, F.col(response).alias("_raw"),
-        F.from_json(F.nullif(body, F.lit("")), "array<string>").alias("_items"),
-    )
-    items = parsed.filter(F.col("_items").isNotNull()).select(
-        *key, F.posexplode("_items").alias("item_no", "item_text")
-    )
-    as_object = F.when(F.col("item_text").rlike(r"(?s)^\s*\{"), F.from_json("item_text", RESPONSE_ITEM))
-    typed = coerce_assignment(items.withColumn("item", as_object))
-    rows = typed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "item", "item_text")
-    bad_items = typed.filter(F.col("reject_reason").isNotNull()).select(
-        *key, "item_no", "reject_reason", F.col("item_text").alias("source_text")
-    )
-    bad_texts = parsed.filter(F.col("_items").isNull()).select(
-        *key, F.lit(None).cast("int").alias("item_no"),
-        F.lit("no JSON array").alias("reject_reason"), F.col("_raw").alias("source_text"),
-    )
-    return rows, bad_items.unionByName(bad_texts)
+    # Items come out of one generator, whose results no filter can be moved below: else each
+    # response would be read once for every condition on it. A response that is no array
+    # gives one row without an item number.
+    body = F.nullif(F.regexp_extract(response, r"(?s)\[.*\]", 0), F.lit(""))
+    found = lambda items: F.when(items.isNotNull(), F.transform(items, lambda text, at: F.struct(
+        at.alias("item_no"), text.alias("item_text"),
+        F.when(text.rlike(r"(?s)^\s*\{"), F.from_json(text, RESPONSE_ITEM)).alias("item"),
+    ))).otherwise(F.array(F.struct(
+        F.lit(None).cast("int").alias("item_no"), F.col(response).alias("item_text"),
+        F.from_json(F.lit(None).cast("string"), RESPONSE_ITEM).alias("item"))))
+    items = df.select(*key, F.inline(bind(F.from_json(body, "array<string>"), found)))
+    typed = coerce_assignment(items)
+    rows = typed.filter(F.col("item_no").isNotNull() & F.col("reject_reason").isNull()).drop("reject_reason", "item", "item_text")
+    reason = F.when(F.col("item_no").isNull(), "no JSON array").otherwise(F.col("reject_reason"))
+    rejects = typed.filter(F.col("reject_reason").isNotNull()).select(
+        *key, "item_no", reason.alias("reject_reason"), F.col("item_text").alias("source_text"))
+    return rows, rejects
 
 
 # --- page text -----------------------------------------------------------------------
