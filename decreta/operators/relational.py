@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from decreta import constants as K
 from decreta.operators.ordering import keep_first
@@ -66,10 +67,13 @@ def log_enriched(log: DataFrame, sources: DataFrame, orders: DataFrame) -> DataF
 
 
 def join_known(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join in which rows without a key are not sent anywhere: they match nothing,
-    and mostly null keys would meet in one task."""
-    known = df.filter(F.col(key).isNotNull()).join(right, key, "left")
-    return known.unionByName(df.filter(F.col(key).isNull()), allowMissingColumns=True)
+    """Left join whose rows without a key are spread over the tasks by their other values:
+    they match nothing, and mostly null keys would meet in one task. ``df`` is read once."""
+    # A variant or a map has no hash.
+    others = [f.name for f in df.schema.fields if f.name != key and isinstance(f.dataType, AtomicType) and f.dataType.typeName() != "variant"]
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*others) if others else F.lit(0)).otherwise(0)
+    known = right.withColumn("_spread", F.lit(0).cast("bigint"))
+    return df.withColumn("_spread", spread.cast("bigint")).join(known, [key, "_spread"], "left").drop("_spread")
 
 
 def new_documents(discovered: DataFrame, known: DataFrame) -> DataFrame:

@@ -14,13 +14,15 @@ from decreta.session import broadcast_checked, staged
 
 
 def normalize_sports(rows: DataFrame, registry: DataFrame, aliases: DataFrame,
-                     threshold: float = K.REVIEW_MATCH, scorer: str = "trigram") -> DataFrame:
+                     threshold: float = K.REVIEW_MATCH, scorer: str = "trigram",
+                     sports: DataFrame | None = None) -> DataFrame:
     """Canonical sport of each row, with method, confidence and alternatives.
 
     Names are matched once each and joined back, so the cost of matching follows the
-    number of distinct spellings, not of rows. A row without a sport is left alone.
+    number of distinct spellings, not of rows. A row without a sport is left alone. Where
+    the caller knows the sports (``name``, with all those of the rows), ``rows`` is read once.
     """
-    names = rows.select(F.col("sport").alias("name"))
+    names = rows.select(F.col("sport").alias("name")) if sports is None else sports
     found = staged(match_names(names, registry, aliases, threshold, scorer), "matches").select(
         F.col("input_name").alias("_name"), F.col("canonical_name").alias("_canonical"),
         F.col("sport_id").alias("_sport_id"), F.col("method").alias("match_method"),

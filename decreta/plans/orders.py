@@ -13,7 +13,7 @@ from decreta.functions.text import fio_search_key
 from decreta.operators.mutations import natural_id, replace_rows, update_orders
 from decreta.operators.ordering import keep_first
 from decreta.operators.relational import join_known, url_policy
-from decreta.plans.extract import extract_assignments
+from decreta.plans.extract import extract_assignments, extract_with_sports
 from decreta.plans.normalize import normalize_ranks, normalize_sports
 from decreta.plans.steps import StepLog
 from decreta.session import broadcast_checked
@@ -67,9 +67,8 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         F.col("file_hash").alias("_hash"), F.col("id").alias("stored_as"))
     stored = keep_first(stored, ["_hash"], [F.col("stored_as")])
     work = join_known(checked.join(landed, "id", "left"), stored, "_hash")
-    first_of_hash = keep_first(
-        work.filter(F.col("_hash").isNotNull()), ["_hash"], [F.col("created_at"), F.col("id")]
-    ).select(F.col("_hash"), F.col("id").alias("_first"))
+    first_of_hash = work.filter(F.col("_hash").isNotNull()).groupBy("_hash").agg(
+        F.min(F.struct("created_at", "id"))["id"].alias("_first"))
     work = join_known(work, first_of_hash, "_hash")
     repeated = F.lit(not force) & (
         (F.col("stored_as").isNotNull() & (F.col("stored_as") != F.col("id")))
@@ -90,18 +89,20 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         texts.select(F.col("order_id").alias("doc_id"), "text"), "doc_id")
     if primary is not None:
         rows, _, answered = primary
-        by_rules = _rows_by_rules(docs.join(answered, "doc_id", "left_anti"), registry, aliases)
+        by_rules, sports = _rows_by_rules(docs.join(answered, "doc_id", "left_anti"), registry, aliases)
         by_model = rows.join(docs.select("doc_id", "order_date"), "doc_id").select(
             *[F.col(c) for c in by_rules.columns if c in rows.columns or c == "order_date"],
             F.col("item_no").alias("row_no"), F.lit("primary").alias("layout"),
             F.lit(None).cast("double").alias("confidence"), F.lit("model").alias("llm_model"),
         )
         extracted = by_rules.unionByName(by_model.select(by_rules.columns))
+        if sports is not None:
+            sports = sports.unionByName(by_model.select(F.col("sport").alias("name")))
     else:
-        extracted = _rows_by_rules(docs, registry, aliases)
+        extracted, sports = _rows_by_rules(docs, registry, aliases)
     named = normalize_ranks(extracted).withColumn("sport_id", F.lit(None).cast("string"))
     if registry is not None:
-        named = normalize_sports(named, registry, aliases)
+        named = normalize_sports(named, registry, aliases, sports=sports)
     else:
         named = named.withColumn("match_method", F.lit(None).cast("string"))
     is_matched = F.col("match_method").isNotNull() & (F.col("match_method") != "not_found")
@@ -131,9 +132,11 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
     return Processed(_to_table(rows, as_of), updates, _log(results, steps, as_of), results, steps.frame(orders.sparkSession))
 
 
-def _rows_by_rules(docs: DataFrame, registry: DataFrame | None, aliases: DataFrame | None) -> DataFrame:
-    none = F.lit(None).cast("string")
-    return extract_assignments(docs, registry, aliases).withColumn("submission_number", none)
+def _rows_by_rules(docs: DataFrame, registry: DataFrame | None,
+                   aliases: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Extracted rows and the sports they can have."""
+    rows, sports = extract_with_sports(docs, registry, aliases)
+    return rows.withColumn("submission_number", F.lit(None).cast("string")), sports
 
 
 def _to_table(rows: DataFrame, as_of: Column) -> DataFrame:
