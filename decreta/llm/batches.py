@@ -32,8 +32,8 @@ def pieces(batch: pa.RecordBatch, name: str, limit: int = BATCH_BYTES) -> Iterat
     """Cut a batch where its texts pass ``limit`` bytes; a longer text stays whole."""
     if not batch.num_rows:
         return
-    sizes = column(batch, name).cast(pa.large_binary())
-    lengths = np.array([len(x) if x else 0 for x in sizes.to_pylist()], np.int64)
+    # Measured in Arrow: the texts of the whole batch need not be objects at once.
+    lengths = pc.binary_length(column(batch, name)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     start = total = 0
     for i, n in enumerate(lengths):
         if total and total + n > limit:
@@ -58,13 +58,14 @@ def text_parts(batch: pa.RecordBatch, name: str = "text", limit: int = BATCH_BYT
         start = stop
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> DataFrame:
-    """``mapInArrow`` over batches of bounded bytes; ``fn`` returns columns by name."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text",
+                limit: int = BATCH_BYTES) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``limit`` bytes, or one text; ``fn`` returns columns by name."""
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, limit):
                 yield record(fn(part), out)
 
     return df.mapInArrow(run, schema)

@@ -18,6 +18,8 @@ from decreta.llm.batches import column, map_batches, pieces, raw, split_words, w
 
 BUCKETS_LOG2 = 17
 BYTE_NGRAMS = (3, 5)
+# Bytes of text judged at a time: their n-grams take some eighty times as many.
+PIECE_BYTES = 1 << 20
 # Labelled rows of each class that the classifier is fitted on, at most. Spark cuts such a
 # ranking before the shuffle up to spark.sql.optimizer.windowGroupLimitThreshold (1,000).
 SAMPLE_PER_CLASS = 1_000
@@ -118,6 +120,18 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _groups(texts: list[bytes]):
+    """The texts in order, in groups of at most ``PIECE_BYTES`` or one text."""
+    start = total = 0
+    for i, t in enumerate(texts):
+        if total and total + len(t) > PIECE_BYTES:
+            yield texts[start:i]
+            start, total = i, 0
+        total += len(t)
+    if texts:
+        yield texts[start:]
+
+
 def fit(texts: list[bytes], good: np.ndarray, base_rate: float, steps: int = 80) -> tuple[np.ndarray, float, float]:
     """Weights, slope and offset. Every third text calibrates, the others train.
 
@@ -126,8 +140,8 @@ def fit(texts: list[bytes], good: np.ndarray, base_rate: float, steps: int = 80)
     held = np.arange(len(texts)) % 3 == 2
     rows, cols, vals, size, n = [], [], [], 1 << BUCKETS_LOG2, 0
     train = [t for t, h in zip(texts, held) if not h]
-    for at in range(0, len(train), 200):
-        b = Batch(train[at:at + 200])
+    for group in _groups(train):
+        b = Batch(group)
         for where, doc in features(b):
             keys, counts = np.unique(doc * size + where, return_counts=True)
             owner = keys // size
@@ -136,6 +150,7 @@ def fit(texts: list[bytes], good: np.ndarray, base_rate: float, steps: int = 80)
             vals.append(counts / np.maximum(1, np.bincount(doc, minlength=b.n))[owner])
         n += b.n
     row, col, val = np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
+    del rows, cols, vals
     y = good[~held].astype(float)
     share = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y == 0).sum())) / 2
     w, m, v, rate = np.zeros(size), np.zeros(size), np.zeros(size), 2.0
@@ -146,7 +161,7 @@ def fit(texts: list[bytes], good: np.ndarray, base_rate: float, steps: int = 80)
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     w = w.astype(np.float32)
     calibration = [t for t, h in zip(texts, held) if h]
-    score = np.concatenate([_margin(Batch(calibration[i:i + 200]), w) for i in range(0, len(calibration), 200)] or [np.zeros(0)])
+    score = np.concatenate([_margin(Batch(group), w) for group in _groups(calibration)] or [np.zeros(0)])
     y = good[held]
     weight = np.where(y, base_rate / max(1, y.sum()), (1 - base_rate) / max(1, (~y).sum()))
     # Smoothed targets keep the slope finite where the classes separate.
@@ -219,7 +234,7 @@ def quality(docs: DataFrame, labels: DataFrame, min_probability: float = MIN_PRO
     """
     decide = judge(train_quality(docs, labels, sample), min_probability)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, lambda batch: decide(raw(batch)) | {"doc_id": column(batch, "doc_id")}, SCHEMA)
+    return map_batches(rows, lambda batch: decide(raw(batch)) | {"doc_id": column(batch, "doc_id")}, SCHEMA, limit=PIECE_BYTES)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, min_probability: float = MIN_PROBABILITY, sample: int = SAMPLE_PER_CLASS) -> DataFrame:
@@ -228,7 +243,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, min_probability: float = MIN_P
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 yield part.filter(pa.array(decide(raw(part))["kept"]))
 
     return docs.mapInArrow(run, docs.schema)
