@@ -115,13 +115,14 @@ def with_attachments(orders: DataFrame) -> DataFrame:
 
 
 def already_stored(incoming: DataFrame, orders: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key is stored."""
-    keys = orders.select(*on).dropna().distinct()
+    """Incoming rows whose key is stored. A semi join needs no distinct keys, and nearly all are
+    distinct: an aggregation would hold a map of all of them."""
+    keys = orders.select(*on).dropna()
     return incoming.join(keys, list(on), "left_semi")
 
 
 def not_stored(incoming: DataFrame, orders: DataFrame, on: Sequence[str]) -> DataFrame:
-    keys = orders.select(*on).dropna().distinct()
+    keys = orders.select(*on).dropna()
     return incoming.join(keys, list(on), "left_anti")
 
 
