@@ -22,6 +22,8 @@ from decreta.llm.encoding import encoder
 from decreta.session import staged
 
 CAPACITY = 2048
+# Bytes of text encoded at a time: a worker holds the parts of one such stretch as objects.
+TEXT_BYTES = 1 << 20
 # Pieces of a partition on average, and rounds of exchange.
 PARTITION_PIECES, ROUNDS = 40_000, 3
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -93,7 +95,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ids:
             out["ids"] = pa.array([data[b:b + n].astype(np.int32) for b, n in zip(begin.tolist(), length.tolist())], pa.list_(pa.int32()))
         return out
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fn, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fn, schema, limit=TEXT_BYTES)
 
 
 def _pack(parts: DataFrame, capacity: int) -> DataFrame:

@@ -31,6 +31,8 @@ from decreta.llm.fm_index import FMIndex
 from decreta.session import staged
 
 WINDOW, GRAM = 50, 16
+# Bytes of text whose words are held at a time.
+TEXT_BYTES = 1 << 20
 # Segment classes of a bucket beyond which it is dealt anew, and words of a shard.
 BUCKET, SHARD_WORDS = 1_000, 200_000
 _BASE = 0x9E3779B97F4A7C15  # an odd multiplier, for polynomial hashes modulo 2^64
@@ -107,7 +109,7 @@ def segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
             "doc_id": column(batch, "doc_id").take(pa.array(who)), "row": column(batch, "row").take(pa.array(who)),
         }
 
-    return map_batches(docs, fn, SEGMENT)
+    return map_batches(docs, fn, SEGMENT, limit=TEXT_BYTES)
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -121,7 +123,7 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", TEXT_BYTES):
                 lists_, codes = column(part, "segments"), split_words(raw(part))
                 counts, values = np.diff(lists_.offsets.to_numpy()), lists_.flatten()
                 s = {c: values.field(c).to_numpy() for c in ("key", "cls", "at", "n", "anchor")}
@@ -309,7 +311,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **sizes) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", TEXT_BYTES):
                 repeats = column(part, "_repeats").to_pylist()
                 hit = [i for i, x in enumerate(repeats) if x]
                 columns = {c: column(part, c).to_pylist() if c in ("text", "n_chars") else column(part, c) for c in names}
