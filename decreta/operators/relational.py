@@ -11,7 +11,7 @@ from pyspark.sql.types import AtomicType
 
 from decreta import constants as K
 from decreta.operators.ordering import keep_first
-from decreta.session import broadcast_checked
+from decreta.session import broadcast_checked, shuffled
 
 
 # --- predicates ---------------------------------------------------------------
@@ -118,12 +118,12 @@ def already_stored(incoming: DataFrame, orders: DataFrame, on: Sequence[str]) ->
     """Incoming rows whose key is stored. A semi join needs no distinct keys, and nearly all are
     distinct: an aggregation would hold a map of all of them."""
     keys = orders.select(*on).dropna()
-    return incoming.join(keys, list(on), "left_semi")
+    return incoming.join(shuffled(keys), list(on), "left_semi")
 
 
 def not_stored(incoming: DataFrame, orders: DataFrame, on: Sequence[str]) -> DataFrame:
     keys = orders.select(*on).dropna()
-    return incoming.join(keys, list(on), "left_anti")
+    return incoming.join(shuffled(keys), list(on), "left_anti")
 
 
 def issuing_details(orders: DataFrame, sources: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from decreta.operators.relational import join_known, url_policy
 from decreta.plans.extract import extract_assignments, extract_with_sports
 from decreta.plans.normalize import normalize_ranks, normalize_sports
 from decreta.plans.steps import StepLog
-from decreta.session import broadcast_checked
+from decreta.session import broadcast_checked, shuffled
 
 
 class Processed(NamedTuple):
@@ -66,10 +66,12 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
     stored = (orders if stored_orders is None else stored_orders).filter(F.col("file_hash").isNotNull()).select(
         F.col("file_hash").alias("_hash"), F.col("id").alias("stored_as"))
     stored = keep_first(stored, ["_hash"], [F.col("stored_as")])
-    work = join_known(checked.join(landed, "id", "left"), stored, "_hash")
+    work = checked.join(shuffled(landed), "id", "left")
     first_of_hash = work.filter(F.col("_hash").isNotNull()).groupBy("_hash").agg(
-        F.min(F.struct("created_at", "id"))["id"].alias("_first"))
-    work = join_known(work, first_of_hash, "_hash")
+        F.min(F.struct("created_at", "id"))["id"].alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    # Only hashes that are stored or repeated tell anything: few, though most rows may have one of them.
+    known = first_of_hash.join(shuffled(stored), "_hash", "left").filter("stored_as IS NOT NULL OR _copies > 1").drop("_copies")
+    work = join_known(work, known, "_hash")
     repeated = F.lit(not force) & (
         (F.col("stored_as").isNotNull() & (F.col("stored_as") != F.col("id")))
         | (F.col("_first").isNotNull() & (F.col("_first") != F.col("id")))
@@ -86,11 +88,11 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
     ready = work.filter(F.col("_error").isNull() & ~F.col("_repeated"))
     # The texts themselves join last, for the orders that will be read.
     docs = ready.select(F.col("id").alias("doc_id"), "order_date", "source_code").join(
-        texts.select(F.col("order_id").alias("doc_id"), "text"), "doc_id")
+        shuffled(texts.select(F.col("order_id").alias("doc_id"), "text")), "doc_id")
     if primary is not None:
         rows, _, answered = primary
-        by_rules, sports = _rows_by_rules(docs.join(answered, "doc_id", "left_anti"), registry, aliases)
-        by_model = rows.join(docs.select("doc_id", "order_date"), "doc_id").select(
+        by_rules, sports = _rows_by_rules(docs.join(shuffled(answered), "doc_id", "left_anti"), registry, aliases)
+        by_model = rows.join(shuffled(docs.select("doc_id", "order_date")), "doc_id").select(
             *[F.col(c) for c in by_rules.columns if c in rows.columns or c == "order_date"],
             F.col("item_no").alias("row_no"), F.lit("primary").alias("layout"),
             F.lit(None).cast("double").alias("confidence"), F.lit("model").alias("llm_model"),
@@ -113,7 +115,7 @@ def process_orders(orders: DataFrame, texts: DataFrame, sources: DataFrame, allo
         F.count_if(is_matched).alias("matched"),
         F.count_if(F.col("match_method") == "not_found").alias("unmatched"),
     )
-    done = work.join(counts, "id", "left").na.fill(0, ["records", "matched", "unmatched"])
+    done = work.join(shuffled(counts), "id", "left").na.fill(0, ["records", "matched", "unmatched"])
     failed_extract = "Извлечение не удалось (LLM и rule_extractor)"
     done = done.withColumn("error", F.coalesce(
         "_error", F.when(~F.col("_repeated") & (F.col("records") == 0), failed_extract)))
@@ -214,8 +216,8 @@ def apply_processed(orders: DataFrame, assignments: DataFrame, done: Processed,
     """New snapshots of the order and assignment tables."""
     rows = done.rows.select(assignments.columns)
     return (
-        update_orders(orders, done.updates, as_of),
-        replace_rows(assignments, rows, "order_id", processed_orders(done)),
+        update_orders(orders, shuffled(done.updates), as_of),
+        replace_rows(assignments, rows, "order_id", shuffled(processed_orders(done))),
     )
 
 

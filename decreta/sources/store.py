@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from decreta.schemas import TABLES
+from decreta.session import shuffled
 
 # Key whose rows are replaced together; other tables go by their id.
 KEYS = {"registry_sources": "code", "assignments": "order_id"}
@@ -98,7 +99,7 @@ class Store:
         rows = load([e.path for e in entries if e.path and e.part in merged])
         puts = load([e.path for e in entries if e.puts]).filter("_put")
         newest = puts.groupBy(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key")).agg(F.max("_seq").alias("_newest"))
-        seen = rows.join(newest, F.coalesce(F.col(key).cast("string"), F.lit("")) == F.col("_key"), "left").filter(
+        seen = rows.join(shuffled(newest), F.coalesce(F.col(key).cast("string"), F.lit("")) == F.col("_key"), "left").filter(
             "NOT _gone AND (_newest IS NULL OR _seq >= _newest)").drop("_key", "_newest")
         return plain.unionByName(seen)
 

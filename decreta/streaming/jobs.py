@@ -20,6 +20,7 @@ from decreta.operators.ordering import keep_first
 from decreta.operators.relational import not_stored
 from decreta.plans.changes import detect_changes
 from decreta.plans.orders import apply_processed, process_orders, processed_orders
+from decreta.session import shuffled
 from decreta.sources.store import Store
 
 _PAGES = "source_code string, list_no int, page_no int, url string, html string, etag string"
@@ -161,13 +162,13 @@ def drain_orders(spark: SparkSession, landed_texts: str, store: Store, checkpoin
         batch = (_query_id(spark, checkpoint), number)
         orders = store.read("orders")
         once_each = keep_first(texts, ["order_id"], [F.col("file_hash")])
-        waiting = orders.join(once_each.select(F.col("order_id").alias("id")), "id", "left_semi")
+        waiting = orders.join(shuffled(once_each.select(F.col("order_id").alias("id"))), "id", "left_semi")
         done = process_orders(
             waiting, once_each, store.read("registry_sources").withColumn("id", F.col("code")),
             allowed_hosts, registry, aliases, as_of(), stored_orders=orders,
         )
         # Only what the round changes is written: the rows of its orders, then the orders.
-        changed = orders.join(done.updates.select("id"), "id", "left_semi")
+        changed = orders.join(shuffled(done.updates.select("id")), "id", "left_semi")
         new_orders, _ = apply_processed(changed, done.rows, done, as_of())
         store.put("assignments", done.rows, processed_orders(done), batch)
         # The log before the orders: a stop in between repeats the round, whose log is in the ledger.
